@@ -18,8 +18,10 @@ CODEC = "gzip"
 MODES = ("append", "overwrite", "replace_partitions")
 
 
-def _types(schema: StructType) -> dict[str, DataType]:
-    return {field.name: field.dataType for field in schema}
+def _types(schema: StructType, partition_by: Sequence[str]) -> dict[str, DataType | None]:
+    """Column types.  Those of partition columns are guessed from folder names, so they
+    do not count."""
+    return {f.name: None if f.name in partition_by else f.dataType for f in schema}
 
 
 def _writer(
@@ -61,7 +63,7 @@ def append_evolving(
     """
     before = stored_schema(df.sparkSession, path, fmt, evolved=True)
     if before is not None:
-        old, new = _types(before), _types(df.schema)
+        old, new = _types(before, partition_by), _types(df.schema, partition_by)
         changed = [c for c in new if c in old and new[c] != old[c]]
         if changed:
             raise TypeError(f"{path} stores other types for {changed}")
@@ -79,7 +81,7 @@ def append_fixed(
 ) -> None:
     """Add rows with exactly the columns and types of the stored table."""
     before = stored_schema(df.sparkSession, path, fmt)
-    if before is not None and _types(before) != _types(df.schema):
+    if before is not None and _types(before, partition_by) != _types(df.schema, partition_by):
         raise TypeError(f"schema of {path} is {before.simpleString()}, got {df.schema.simpleString()}")
     _writer(df, mode, fmt, partition_by, codec, rebalance).save(path)
 
