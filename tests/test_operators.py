@@ -240,6 +240,8 @@ def test_dedup_rows(spark):
     assert sorted(folded.collect(), key=lambda r: r.k) == [
         (1, None, date(2024, 1, 1)), (2, "a", date(2024, 1, 2))
     ]
+    by_key = dedup_rows(df, ignore=["s", "ingest_date"])
+    assert sorted(by_key.collect()) == [(1, None, date(2024, 1, 1)), (2, "a", date(2024, 1, 2))]
 
 
 # enrichment

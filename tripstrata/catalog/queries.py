@@ -89,10 +89,8 @@ def dim_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.count(F.lit(1)).alias("total_trips"))
     )
-    # Two and six rows by definition, so the broadcast cannot grow.
-    return per_code.join(F.broadcast(vendors), "vendor_id", "left").join(
-        F.broadcast(rate_codes), "rate_code_id", "left"
-    )
+    named = per_code.join(vendors, "vendor_id", "left")
+    return named.join(rate_codes, "rate_code_id", "left")
 
 
 def dim_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:

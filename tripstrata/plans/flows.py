@@ -171,7 +171,8 @@ def medallion(
         loaded = read_layer(spark, f"{root}/bronze/{feed.name}", evolved=True)
         staged = f"{stage_root}/{feed.name}" if stage_root else None
         rows = silver(loaded, feed.rules, staged, relative_error)
-        append_fixed(rows, f"{root}/silver/{feed.name}", mode=mode)
+        # Every load date of bronze is in these rows, in every task.
+        append_fixed(rows, f"{root}/silver/{feed.name}", mode=mode, rebalance=True)
         cleaned.append(read_layer(spark, f"{root}/silver/{feed.name}"))
     both = union_common(*cleaned)
     comparison = source_metrics(both, [feed.name for feed in feeds])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,16 @@ def read_csv(
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    """A small table given in the code.
+
+    It goes in as Arrow, which Spark keeps as a local relation of known size: a
+    join then broadcasts it on its own, by the usual size check.
+    """
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not rows:
+        return spark.createDataFrame([], fields)
+    columns = [pa.array(values) for values in zip(*rows, strict=True)]
+    return spark.createDataFrame(pa.table(columns, names=fields.names), fields)
 
 
 def read_layer(

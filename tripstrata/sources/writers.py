@@ -67,7 +67,7 @@ def append_evolving(
         changed = [c for c in new if c in old and new[c] != old[c]]
         if changed:
             raise TypeError(f"{path} stores other types for {changed}")
-    _writer(df, mode, fmt, partition_by, codec, rebalance).save(path)
+    _writer(df, mode, fmt, partition_by, codec, rebalance).option("mergeSchema", True).save(path)
 
 
 def append_fixed(
@@ -79,7 +79,11 @@ def append_fixed(
     codec: str = CODEC,
     rebalance: bool = False,
 ) -> None:
-    """Add rows with exactly the columns and types of the stored table."""
+    """Add rows with exactly the columns and types of the stored table.
+
+    Ask for ``rebalance`` when the rows span many partition values and come out of
+    a shuffle: otherwise each task writes a file for each value.
+    """
     before = stored_schema(df.sparkSession, path, fmt)
     if before is not None and _types(before, partition_by) != _types(df.schema, partition_by):
         raise TypeError(f"schema of {path} is {before.simpleString()}, got {df.schema.simpleString()}")
