@@ -17,6 +17,13 @@ def test_every_query_has_sql():
     assert set(contract.queries()) == set(contract.oracle_sql())
 
 
+def test_the_comparison_notices_a_changed_value(spark, con):
+    query = contract.queries()["filter_positive"]
+    off = "SELECT * REPLACE (c_acctbal + CAST(c_custkey = 1 AS INT) AS c_acctbal) FROM customer"
+    assert differences(spark, con, query, f"{off} WHERE c_acctbal > 0", SF_DIR)
+    assert differences(spark, con, query, "SELECT * FROM customer WHERE c_acctbal > 100", SF_DIR)
+
+
 def test_smoke_query_has_rows(spark):
     assert contract.entry(spark).count() > 0
 
