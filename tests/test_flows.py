@@ -110,3 +110,21 @@ def test_rerun_of_the_whole_flow(spark, yellow, green, mode, trips):
     (summary,) = gold["daily_summary"].collect()
     assert (summary.total_trips, summary.total_fare_amount) == (trips, 6.0 * trips)
     assert read_layer(spark, f"{root}/silver/yellow").count() == trips
+
+
+@pytest.mark.filterwarnings("ignore:columns not found")
+def test_silver_of_new_loads_only(spark, yellow, green):
+    """With ``since`` an appending flow takes each load once."""
+    root = scratch_dir(spark, "daily")
+    feeds = (flows.Feed("yellow", yellow, YELLOW), flows.Feed("green", green, GREEN))
+    for day in ("2024-02-01", "2024-02-02", "2024-02-03"):
+        gold = flows.medallion(feeds, root, as_of=day, since=day, relative_error=0.0)
+    assert read_layer(spark, f"{root}/bronze/yellow").count() == 3 * yellow.count()
+    assert read_layer(spark, f"{root}/silver/green").count() == 3 * len(KEPT)
+    assert [r.yellow_total_trips for r in gold["source_metrics"].collect()] == [3 * len(KEPT)]
+
+
+def test_side_by_side_keeps_the_order_and_raises(spark):
+    assert flows.side_by_side(spark, lambda n: spark.range(n).count(), [3, 1, 2]) == [3, 1, 2]
+    with pytest.raises(ZeroDivisionError):
+        flows.side_by_side(spark, lambda n: 1 // n, [1, 0])

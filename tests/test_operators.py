@@ -197,6 +197,8 @@ def test_fill_na_checks_types(spark):
     assert fill_na(df, ["i"], 7).collect() == [(None, 7)]
     with pytest.raises(TypeError, match="'i'"):
         fill_na(df, ["s", "i"], "N")
+    with pytest.raises(TypeError, match="cannot fill"):
+        fill_na(df, ["i"], date(2024, 1, 1))
 
 
 def test_abs_negatives_keeps_null_nan_and_minus_zero(spark):

@@ -55,6 +55,25 @@ def test_append_gains_columns(spark, path):
     assert sorted(given.collect(), key=str) == sorted(table.collect(), key=str)
 
 
+def test_append_returns_the_schema_to_read_and_to_append_with(spark, path):
+    loads = [
+        load(spark, [(1, "x")], "a INT, b STRING", "2024-01-01"),
+        load(spark, [(2,)], "a INT", "2024-01-02"),
+        load(spark, [(3, 4)], "a INT, c INT", "2024-01-03"),
+    ]
+    known = None
+    for df in loads:
+        known = writers.append_evolving(df, path, before=known)
+    table = readers.read_layer(spark, path, schema=known)
+    assert set(table.dtypes) == {
+        ("a", "int"), ("b", "string"), ("c", "int"), ("ingest_date", "date"), ("source", "string")
+    }
+    rows = [tuple(r) for r in table.select("a", "b", "c").orderBy("a").collect()]
+    assert rows == [(1, "x", None), (2, None, None), (3, None, 4)]
+    with pytest.raises(TypeError, match="'b'"):
+        writers.append_evolving(load(spark, [(1,)], "b INT", "2024-01-04"), path, before=known)
+
+
 def test_append_refuses_another_type(spark, path):
     writers.append_evolving(load(spark, [(1,)], "a INT", "2024-01-01"), path)
     with pytest.raises(TypeError, match="'a'"):

@@ -41,7 +41,7 @@ def dedup_rows(df: DataFrame, ignore: Iterable[str] = ()) -> DataFrame:
 def fill_na(df: DataFrame, columns: Iterable[str], value: Any, missing: str = "warn") -> DataFrame:
     """Replace null by one value in many columns; the types must agree."""
     names = present_columns(df, columns, missing)
-    wanted = _ACCEPTS[type(value)]
+    wanted = _ACCEPTS.get(type(value), ())
     unfit = [name for name in names if not isinstance(df.schema[name].dataType, wanted)]
     if unfit:
         raise TypeError(f"{value!r} cannot fill {unfit}")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -56,18 +58,19 @@ def bronze(
     as_of: str | date | None = None,
     mode: str = "append",
     stage_path: str | None = None,
-) -> None:
+) -> StructType:
     """Raw rows plus load metadata, appended to the bronze table.
 
     With ``stage_path`` the raw rows and the stamped rows are each handed over
-    as files, so a failed step can be repeated from the one before.
+    as files, so a failed step can be repeated from the one before.  Returns the
+    schema of the table after the load.
     """
     if stage_path:
         raw = stage(raw, f"{stage_path}/raw")
     stamped = add_ingest_metadata(raw, source, as_of)
     if stage_path:
         stamped = stage(stamped, f"{stage_path}/stamped")
-    append_evolving(stamped, path, mode=mode)
+    return append_evolving(stamped, path, mode=mode)
 
 
 def silver(
@@ -149,37 +152,51 @@ class Feed:
 
 
 def medallion(
-    feeds: tuple[Feed, Feed],
+    feeds: Sequence[Feed],
     root: str,
     excluded_dates: Iterable[str] = (),
     as_of: str | date | None = None,
+    since: str | date | None = None,
     mode: str = "append",
     relative_error: float = 0.05,
     stage_root: str | None = None,
     tables: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Bronze and silver of both feeds, then the two gold tables.
+    """Bronze and silver of two feeds, then the two gold tables.
 
-    The first feed gets the daily summary; the comparison covers both.  ``tables``
-    may map ``daily_summary`` and ``source_metrics`` to catalog names.
+    The first feed gets the daily summary; the comparison covers both.  Feeds do
+    not depend on each other, nor do the gold tables, so each pair runs side by
+    side and fills the cluster while the other one waits for its last tasks.
+
+    Silver reads all of bronze, or the loads from ``since`` on.  ``tables`` may
+    map ``daily_summary`` and ``source_metrics`` to catalog names.
     """
     tables = tables or {}
-    cleaned = []
-    for feed in feeds:
-        spark = feed.raw.sparkSession
-        bronze(feed.raw, feed.name, f"{root}/bronze/{feed.name}", as_of, mode)
-        loaded = read_layer(spark, f"{root}/bronze/{feed.name}", evolved=True)
+    spark = feeds[0].raw.sparkSession
+
+    def clean(feed: Feed) -> DataFrame:
+        in_bronze, in_silver = f"{root}/bronze/{feed.name}", f"{root}/silver/{feed.name}"
+        schema = bronze(feed.raw, feed.name, in_bronze, as_of, mode)
+        loaded = read_layer(spark, in_bronze, schema=schema, since=since)
         staged = f"{stage_root}/{feed.name}" if stage_root else None
         rows = silver(loaded, feed.rules, staged, relative_error)
         # Every load date of bronze is in these rows, in every task.
-        append_fixed(rows, f"{root}/silver/{feed.name}", mode=mode, rebalance=True)
-        cleaned.append(read_layer(spark, f"{root}/silver/{feed.name}"))
-    both = union_common(*cleaned)
-    comparison = source_metrics(both, [feed.name for feed in feeds])
+        append_fixed(rows, in_silver, mode=mode, rebalance=True)
+        return read_layer(spark, in_silver)
+
+    cleaned = side_by_side(spark, clean, feeds)
+    comparison = source_metrics(union_common(*cleaned), [feed.name for feed in feeds])
     gold = {
         "daily_summary": daily_summary(cleaned[0]),
         "source_metrics": exclude_dates(comparison, excluded_dates) if excluded_dates else comparison,
     }
-    return {
-        name: publish(df, f"{root}/gold/{name}", tables.get(name)) for name, df in gold.items()
-    }
+    published = side_by_side(
+        spark, lambda name: publish(gold[name], f"{root}/gold/{name}", tables.get(name)), list(gold)
+    )
+    return dict(zip(gold, published))
+
+
+def side_by_side(spark: SparkSession, action: Callable, inputs: Sequence) -> list:
+    """Run the Spark jobs of independent inputs at the same time; results in order."""
+    with ThreadPoolExecutor(max_workers=len(inputs)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(action), inputs))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tripstrata.sources.readers import read_layer, stored_schema
 
@@ -55,20 +55,30 @@ def append_evolving(
     fmt: str = "parquet",
     codec: str = CODEC,
     rebalance: bool = False,
-) -> None:
+    before: StructType | None = None,
+) -> StructType:
     """Add rows; the table may gain columns but a column keeps its type.
 
     Each task writes its own files: a load has one ``ingest_date``, so shuffling
     by it would put the whole load in one task.  ``mode='replace_partitions'``
     makes a repeated load replace the first instead of doubling it.
+
+    Returns the schema of the table after the load.  Read the table with it, and
+    hand it to the next load as ``before``: neither then has to merge the
+    footers of all files, which takes longer the more loads there are.
     """
-    before = stored_schema(df.sparkSession, path, fmt, evolved=True)
+    if mode == "overwrite":
+        before = None
+    elif before is None:
+        before = stored_schema(df.sparkSession, path, fmt, evolved=True)
     if before is not None:
         old, new = _types(before, partition_by), _types(df.schema, partition_by)
         changed = [c for c in new if c in old and new[c] != old[c]]
         if changed:
             raise TypeError(f"{path} stores other types for {changed}")
     _writer(df, mode, fmt, partition_by, codec, rebalance).option("mergeSchema", True).save(path)
+    older = [f for f in before or () if f.name not in df.columns]
+    return StructType([StructField(f.name, f.dataType) for f in [*df.schema, *older]])
 
 
 def append_fixed(
