@@ -60,9 +60,34 @@ def test_filters_reach_the_scan(spark):
 def test_filters_written_after_dedup_run_before_its_shuffle(spark):
     text = whole_plan(spark, filter_positive(dedup_rows(table(spark, SF_DIR, "customer")), ["c_acctbal"]))
     assert text.index("Exchange") < text.index("Filter")
+    # Copies collapse inside each task before the shuffle, and again after it.
+    assert len(re.findall("HashAggregate", text.split("Exchange")[0])) == 1
+    assert len(re.findall("HashAggregate", text.split("Exchange")[1])) == 1
     assert "GreaterThan(c_acctbal,0.0)" in text
 
 
+def test_dedup_across_loads_stays_a_hash_aggregate(spark):
+    rows = table(spark, SF_DIR, "customer").withColumn("ingest_date", F.current_date())
+    text = plan(dedup_rows(rows, ignore=["ingest_date"]))
+    assert "SortAggregate" not in text and text.count("HashAggregate") == 2
+
+
+def test_bronze_load_neither_shuffles_nor_sorts(spark, tmp_path):
+    """The load date is one value, so the write needs no grouping by it."""
+    loaded = flows.add_ingest_metadata(yellow_raw(spark, SF_DIR), "y", "2024-02-01")
+    target = f"t_{tmp_path.name.replace('-', '_')}"
+    flows.append_evolving(loaded.limit(0), f"{tmp_path}/bronze")
+    columns = ", ".join(f"{name} {kind}" for name, kind in loaded.dtypes)
+    spark.sql(
+        f"CREATE TABLE {target} ({columns}) USING parquet PARTITIONED BY (ingest_date)"
+        f" LOCATION '{tmp_path}/bronze'"
+    )
+    loaded.createOrReplaceTempView("loaded")
+    names = ", ".join([c for c in loaded.columns if c != "ingest_date"] + ["ingest_date"])
+    text = spark.sql(f"EXPLAIN INSERT INTO {target} SELECT {names} FROM loaded").first()[0]
+    assert "WriteFiles" in text and "Sort" not in text and "Exchange" not in text
+
+
 def test_iqr_fences_are_one_scalar_subquery_and_no_join(spark):
     text = plan(filter_iqr(table(spark, SF_DIR, "events"), ["value"]), run=True)
     final = text.split("== Initial Plan ==")[0]

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,7 @@ from tripstrata.plans.rules import (
     CleaningRules,
 )
 from tripstrata.sources.readers import literal_table, read_csv, read_layer
+from tripstrata.sources.scratch import scratch_dir
 from tripstrata.sources.writers import (
     append_evolving,
     append_fixed,
@@ -162,30 +164,31 @@ def medallion(
     stage_root: str | None = None,
     tables: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Bronze and silver of two feeds, then the two gold tables.
+    """Bronze and silver of all feeds, then the two gold tables.
 
-    The first feed gets the daily summary; the comparison covers both.  Feeds do
-    not depend on each other, nor do the gold tables, so each pair runs side by
-    side and fills the cluster while the other one waits for its last tasks.
+    The first feed gets the daily summary; the comparison covers them all.  Feeds
+    do not depend on each other, nor do the gold tables, so they run side by
+    side and fill the cluster while another one waits for its last tasks.
 
-    Silver reads all of bronze, or the loads from ``since`` on.  ``tables`` may
-    map ``daily_summary`` and ``source_metrics`` to catalog names.
+    Silver reads all of bronze, or the loads from ``since`` on, and is staged
+    under ``stage_root``, by default a fresh path in the shared scratch folder.
+    ``tables`` may map ``daily_summary`` and ``source_metrics`` to catalog names.
     """
     tables = tables or {}
     spark = feeds[0].raw.sparkSession
+    stage_root = stage_root or scratch_dir(spark, "silver-stage")
 
     def clean(feed: Feed) -> DataFrame:
         in_bronze, in_silver = f"{root}/bronze/{feed.name}", f"{root}/silver/{feed.name}"
         schema = bronze(feed.raw, feed.name, in_bronze, as_of, mode)
         loaded = read_layer(spark, in_bronze, schema=schema, since=since)
-        staged = f"{stage_root}/{feed.name}" if stage_root else None
-        rows = silver(loaded, feed.rules, staged, relative_error)
+        rows = silver(loaded, feed.rules, f"{stage_root}/{feed.name}", relative_error)
         # Every load date of bronze is in these rows, in every task.
         append_fixed(rows, in_silver, mode=mode, rebalance=True)
         return read_layer(spark, in_silver)
 
     cleaned = side_by_side(spark, clean, feeds)
-    comparison = source_metrics(union_common(*cleaned), [feed.name for feed in feeds])
+    comparison = source_metrics(reduce(union_common, cleaned), [feed.name for feed in feeds])
     gold = {
         "daily_summary": daily_summary(cleaned[0]),
         "source_metrics": exclude_dates(comparison, excluded_dates) if excluded_dates else comparison,
