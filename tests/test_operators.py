@@ -42,6 +42,7 @@ from tripstrata.operators.summaries import (
     source_metrics,
     union_common,
 )
+from tripstrata.sources.readers import literal_table
 
 NAN = float("nan")
 
@@ -57,6 +58,15 @@ def doubles(spark, *values):
 # names and columns
 
 
+def test_literal_table(spark):
+    table = literal_table(spark, [(1, None), (2, None)], "k INT, s STRING")
+    assert table.dtypes == [("k", "int"), ("s", "string")] and table.collect() == [(1, None), (2, None)]
+    assert literal_table(spark, [], "k INT").collect() == []
+    assert "LocalTableScan" in table._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        literal_table(spark, [(1, "a"), (2,)], "k INT, s STRING")
+
+
 @pytest.mark.parametrize(
     "raw, expected",
     [
@@ -345,6 +355,13 @@ def test_quantile_sketch_stays_within_its_error(spark):
         assert all(abs(r - p) <= error + 1e-3 for r, p in zip(ranks, [0.1, 0.5, 0.9]))
 
 
+@pytest.mark.parametrize("relative_error", [0.0, 0.001])
+def test_quantiles_come_in_the_order_asked_for(spark, relative_error):
+    df = spark.range(1, 101).select(F.col("id").cast("int").alias("x"))
+    (found,) = quantile_bounds(df, "x", [0.5, 0.1, 0.5, 1e-05, 1], relative_error).first()
+    assert found == [50.0, 10.0, 50.0, 1.0, 100.0]
+
+
 def test_quantile_bounds_reject_bad_arguments(spark):
     for bad in ([], [1.5]):
         with pytest.raises(ValueError):
@@ -384,3 +401,4 @@ def test_histogram_2d_skips_rows_without_both_numbers(spark):
         [(0.0, 0.0), (1.0, 10.0), (1.0, 10.0), (0.5, None), (NAN, 3.0)], "x DOUBLE, y DOUBLE"
     )
     assert sorted(histogram_2d(df, "x", "y", 2, 2).collect()) == [(0, 0, 1), (1, 1, 2)]
+    assert sorted(histogram_2d(df, "y", "y", 2, 2).collect()) == [(0, 0, 2), (1, 1, 2)]

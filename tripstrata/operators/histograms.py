@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 from tripstrata.functions.expressions import all_of, is_number
 
 
-def _numeric(df: DataFrame, *columns: str) -> DataFrame:
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return numbers.filter(all_of([is_number(F.col(c)) for c in columns]))
+def _numeric(df: DataFrame, **columns: str) -> DataFrame:
+    """The named columns as doubles, under the given aliases, where all are numbers."""
+    numbers = df.select(*[F.col(c).cast("double").alias(alias) for alias, c in columns.items()])
+    return numbers.filter(all_of([is_number(F.col(alias)) for alias in columns]))
 
 
-def _extent(numbers: DataFrame, *columns: str) -> DataFrame:
+def _extent(numbers: DataFrame) -> DataFrame:
     """One row: per column the low edge and the high edge.
 
     A column with a single value gets an extent of one around it.
     """
+    columns = numbers.columns
     flat = numbers.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)])
 
     def edges(c: str) -> Column:
@@ -45,9 +47,9 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     Counting is one aggregate of at most ``bins`` rows per task; the extent is a
     scalar subquery on the one column.
     """
-    numbers = _numeric(df, column)
-    edges = _extent(numbers, column).scalar().getField(column)
-    counts = numbers.groupBy(_bin(F.col(column), edges, bins).alias("bin")).agg(
+    numbers = _numeric(df, x=column)
+    edges = _extent(numbers).scalar().getField("x")
+    counts = numbers.groupBy(_bin(F.col("x"), edges, bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
     every_bin = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
@@ -61,9 +63,9 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 
 def histogram_2d(df: DataFrame, x: str, y: str, x_bins: int = 50, y_bins: int = 50) -> DataFrame:
     """``x_bin, y_bin, n`` for the occupied cells of the grid over two columns."""
-    numbers = _numeric(df, x, y)
-    extent = _extent(numbers, x, y).scalar()
+    numbers = _numeric(df, x=x, y=y)
+    extent = _extent(numbers).scalar()
     return numbers.groupBy(
-        _bin(F.col(x), extent.getField(x), x_bins).alias("x_bin"),
-        _bin(F.col(y), extent.getField(y), y_bins).alias("y_bin"),
+        _bin(F.col("x"), extent.getField("x"), x_bins).alias("x_bin"),
+        _bin(F.col("y"), extent.getField("y"), y_bins).alias("y_bin"),
     ).agg(F.count(F.lit(1)).alias("n"))

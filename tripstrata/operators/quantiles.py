@@ -70,9 +70,9 @@ WHERE upto - n < rank AND rank <= upto
 
 
 def _exact_quantiles(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    literals = [f"{p!r}D" for p in probabilities]
-    picked = ", ".join(f"max(v) FILTER (WHERE p = {p})" for p in literals)
-    query = _EXACT.replace("__PROBABILITIES__", ", ".join(literals)).replace("__PICKED__", picked)
+    picked = ", ".join(f"max(v) FILTER (WHERE p = {p!r}D)" for p in probabilities)
+    sought = ", ".join(f"{p!r}D" for p in sorted(set(probabilities)))
+    query = _EXACT.replace("__PROBABILITIES__", sought).replace("__PICKED__", picked)
     return values.sparkSession.sql(query, values=values)
 
 
