@@ -168,6 +168,7 @@ def test_compacted_copy_takes_over_a_registered_table(spark, path):
     df = spark.sql("SELECT id AS n, date_add(date'2024-01-01', CAST(id % 3 AS INT)) AS date FROM range(30)")
     table = flows.publish(df, f"{path}/gold", name, compacted_path=f"{path}/gold-compact")
     assert table.count() == 30 and spark.table(name).count() == 30
+    assert len(files(f"{path}/gold")) == len(files(f"{path}/gold-compact")) == 3
     assert all("gold-compact" in f for f in spark.table(name).inputFiles())
 
 

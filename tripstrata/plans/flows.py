@@ -125,15 +125,23 @@ def dimensions(
 
 
 def publish(
-    df: DataFrame, path: str, table: str | None = None, compacted_path: str | None = None
+    df: DataFrame,
+    path: str,
+    table: str | None = None,
+    compacted_path: str | None = None,
+    tasks: int = 32,
 ) -> DataFrame:
     """Replace a gold table, one file per date; optionally register and compact it.
 
+    A gold table has a row per date, so its cost is that of creating the files.
+    They are spread over ``tasks``; adaptive execution would pack rows this few
+    into one task, which then creates file after file.
+
     Compaction writes to ``compacted_path`` and then points the registered table
     there, so a reader sees the old files or the new ones and never a mix.
     """
     spark = df.sparkSession
-    overwrite(df, path, partition_by=["date"])
+    overwrite(df.repartition(tasks, "date"), path, partition_by=["date"], rebalance=False)
     published = spark.read.parquet(path)
     if table:
         published = register_table(spark, table, path, partitioned=True)
