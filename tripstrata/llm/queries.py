@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripstrata.llm import bpe, decontaminate, token_counts
+from tripstrata.llm import bpe, decontaminate, quality_rules, secret_scan, token_counts
 from tripstrata.sources.scratch import scratch_dir
 
 
@@ -15,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def secret_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources are the repositories; the part before a slash is their owner."""
+    owner = F.split_part(F.col("source"), F.lit("/"), F.lit(1))
+    return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"), F.col("source"), owner)
+
+
 def benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_windows(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("items")
@@ -28,14 +35,20 @@ def cached_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.share_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": secret_frequency,
     "op4_benchmark_decontamination": benchmark_windows,
     "op5_token_counts": cached_token_counts,
+    "op7_quality_rules": risk_controlled_rules,
     "op10_byte_bpe": byte_bpe,
 }
 ORACLE: dict[str, str] = {}
