@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstrata.llm import bpe, decontaminate, quality_rules, secret_scan, token_counts
+from tripstrata.llm import (
+    bpe,
+    decontaminate,
+    kneser_ney,
+    licenses,
+    quality_rules,
+    secret_scan,
+    token_counts,
+)
 from tripstrata.sources.scratch import scratch_dir
 
 
@@ -22,6 +30,10 @@ def secret_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"), F.col("source"), owner)
 
 
+def language_model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_key")
+
+
 def benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_windows(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("items")
@@ -39,6 +51,10 @@ def risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.share_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -46,9 +62,11 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_frequency,
+    "op3_quality_classifier": language_model_quality,
     "op4_benchmark_decontamination": benchmark_windows,
     "op5_token_counts": cached_token_counts,
     "op7_quality_rules": risk_controlled_rules,
+    "op8_license_scan": license_templates,
     "op10_byte_bpe": byte_bpe,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_license_scan": licenses.oracle_sql()}
