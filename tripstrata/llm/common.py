@@ -25,13 +25,18 @@ def text_key(value: Column) -> Column:
     return F.substring(F.unhex(F.sha2(value, 256)), 1, 16)
 
 
-def broadcast_if_small(side: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast when the counted rows are known to fit, else leave it.
+def fits(side: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the counted rows stay under the limit.
 
     ``side`` should be cheap to count: read it from a staged table.  ``row_bytes``
     is an upper bound for one row of it in memory.
     """
-    return F.broadcast(side) if side.count() * row_bytes <= limit else side
+    return side.count() * row_bytes <= limit
+
+
+def broadcast_if_small(side: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast when the counted rows are known to fit, else leave it to a shuffle."""
+    return F.broadcast(side) if fits(side, row_bytes, limit) else side
 
 
 def importable_in_tasks(spark: SparkSession) -> None:

@@ -15,6 +15,7 @@ from tripstrata.llm import (
     licenses,
     quality_rules,
     secret_scan,
+    suffix_dedup,
     token_counts,
 )
 from tripstrata.sources.scratch import scratch_dir
@@ -55,6 +56,11 @@ def license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.drop_repeats(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.share_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": cached_token_counts,
     "op7_quality_rules": risk_controlled_rules,
     "op8_license_scan": license_templates,
+    "op9_suffix_dedup": repeated_passages,
     "op10_byte_bpe": byte_bpe,
 }
 ORACLE: dict[str, str] = {"op8_license_scan": licenses.oracle_sql()}
