@@ -13,6 +13,7 @@ from tripstrata.llm import (
     decontaminate,
     kneser_ney,
     licenses,
+    near_dedup,
     quality_rules,
     secret_scan,
     suffix_dedup,
@@ -31,6 +32,10 @@ def secret_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"), F.col("source"), owner)
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def language_model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_key")
 
@@ -68,6 +73,7 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_frequency,
+    "op2_near_dedup": near_duplicates,
     "op3_quality_classifier": language_model_quality,
     "op4_benchmark_decontamination": benchmark_windows,
     "op5_token_counts": cached_token_counts,
