@@ -297,12 +297,15 @@ def decode(encoded: DataFrame, vocabulary: _Shared, ids: str = "ids", into: str
     return map_batches(encoded, run, f"{fields}, `{into}` binary")
 
 
-def encode_digests(docs: DataFrame, vocabulary: _Shared, pattern: str, key: str = "doc_id") -> DataFrame:
-    """Encode, decode, and keep counts and digests instead of the ids themselves."""
+def encode_digests(
+    docs: DataFrame, vocabulary: _Shared, pattern: str, key: str = "doc_id", keep_ids: bool = False
+) -> DataFrame:
+    """Encode, decode, and give counts and digests; the ids themselves on demand."""
     both = decode(encode(docs, vocabulary, pattern, key), vocabulary)
     return both.select(
         key,
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        *(["ids"] if keep_ids else []),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

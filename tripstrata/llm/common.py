@@ -9,6 +9,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A side of a join is broadcast only after its rows were counted and found to
 # stay under this many bytes; beyond it the join is left to shuffle.
@@ -58,7 +59,10 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = 512
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: StructType | str,
+    rows: int = 512,
 ) -> DataFrame:
     """One output batch for each slice of a few input rows; no shuffle."""
 

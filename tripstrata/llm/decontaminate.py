@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tripstrata.llm.common import map_batches, text_of
 
@@ -147,7 +148,9 @@ class _Shared:
         return self.name == other.name
 
 
-_STATE = "key {kind}, text string, hits binary, items array<string>, n_words long, n_hit long"
+def _state(kind: DataType) -> StructType:
+    fields = StructType.fromDDL("text string, hits binary, items array<string>, n_words long, n_hit long")
+    return StructType([StructField("key", kind), *fields])
 
 
 def find_windows(
@@ -166,7 +169,7 @@ def find_windows(
     windows; items that repeat, or share a window, are each counted once.
     """
     spark = docs.sparkSession
-    kind = docs.schema[key].dataType.simpleString()
+    state = _state(docs.schema[key].dataType)
     rows = docs.select(
         F.col(key).alias("key"),
         text_of().alias("text"),
@@ -205,7 +208,7 @@ def find_windows(
                 names=["key", "text", "hits", "items", "n_words", "n_hit"],
             )
 
-        rows = map_batches(rows, search, _STATE.format(kind=kind))
+        rows = map_batches(rows, search, state)
     found = F.coalesce("items", F.array().cast("array<string>"))
     return rows.select(
         F.col("key").alias(key),
@@ -216,3 +219,13 @@ def find_windows(
         F.sha2(F.array_join(found, ",").cast("binary"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (F.col("n_hit") * HIT_DIVISOR >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, unchanged; no shuffle.
+
+    Whole rows travel through the search as its key.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), "text")
+    found = find_windows(rows, benchmark, key="_doc", **options)
+    return found.filter(~F.col("contaminated")).select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])
