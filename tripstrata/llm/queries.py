@@ -12,6 +12,7 @@ from tripstrata.llm import (
     bpe,
     decontaminate,
     kneser_ney,
+    language_id,
     licenses,
     near_dedup,
     quality_rules,
@@ -53,6 +54,10 @@ def cached_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 def risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": language_model_quality,
     "op4_benchmark_decontamination": benchmark_windows,
     "op5_token_counts": cached_token_counts,
+    "op6_language_id": page_languages,
     "op7_quality_rules": risk_controlled_rules,
     "op8_license_scan": license_templates,
     "op9_suffix_dedup": repeated_passages,
