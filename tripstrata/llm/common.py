@@ -16,9 +16,10 @@ from pyspark.sql.types import StructType
 BROADCAST_BYTES = 48 << 20
 
 
-def text_of(column: str = "text") -> Column:
+def text_of(column: Column | str = "text") -> Column:
     """The text of a row; a null text reads as an empty one."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+    value = F.col(column) if isinstance(column, str) else column
+    return F.coalesce(value.cast("string"), F.lit(""))
 
 
 def text_key(value: Column) -> Column:
@@ -74,3 +75,14 @@ def map_batches(
                 yield function(part)
 
     return df.mapInArrow(run, schema)
+
+
+def rows_without(docs: DataFrame, gone: DataFrame, match: Callable[[Column], Column]) -> DataFrame:
+    """The rows of ``docs`` that match no row of ``gone``, with their columns as they were.
+
+    ``match`` gets the row as a struct, in which its names cannot clash with those
+    of ``gone``.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    left = rows.join(gone, match(F.col("_doc")), "left_anti")
+    return left.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])

@@ -26,7 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import broadcast_if_small, importable_in_tasks, slices, text_key, text_of
+from tripstrata.llm.common import (
+    broadcast_if_small,
+    importable_in_tasks,
+    rows_without,
+    slices,
+    text_key,
+    text_of,
+)
 from tripstrata.sources.scratch import scratch_dir
 
 SHARDS = 64
@@ -306,6 +313,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", language:
     verdicts = classify(docs, labels, key, language)
     verdicts.filter(~F.col("kept")).select(F.col("lang").alias("_l"), F.col("text_key").alias("_k")).distinct().write.parquet(path)
     rejected = broadcast_if_small(spark.read.parquet(path), 128)
-    own_lang = F.coalesce(docs[language].cast("string"), F.lit(""))
-    own_key = text_key(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(rejected, (own_lang == F.col("_l")) & (own_key == F.col("_k")), "left_anti")
+    return rows_without(
+        docs,
+        rejected,
+        lambda doc: (text_of(doc.getField(language)) == F.col("_l"))
+        & (text_key(text_of(doc.getField("text"))) == F.col("_k")),
+    )

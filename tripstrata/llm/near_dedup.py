@@ -30,7 +30,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import broadcast_if_small, fits, importable_in_tasks, map_batches, slices, text_of
+from tripstrata.llm.common import (
+    broadcast_if_small,
+    fits,
+    importable_in_tasks,
+    map_batches,
+    rows_without,
+    slices,
+    text_of,
+)
 from tripstrata.llm.components import connected_components
 from tripstrata.llm.decontaminate import _WORD_BYTES
 from tripstrata.llm.suffix_dedup import _mixed, powers, prefix_hashes
@@ -360,8 +368,8 @@ def similar_texts(texts: DataFrame) -> DataFrame:
     return spark.read.parquet(f"{path}/links")
 
 
-def _text_id() -> Column:
-    return F.xxhash64(text_of())
+def _text_id(text: Column | str = "text") -> Column:
+    return F.xxhash64(text_of(text))
 
 
 def classes(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -408,8 +416,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     joined.select("_id", "_text", stays.alias("stays"), "n").write.parquet(f"{path}/verdicts")
     verdicts = spark.read.parquet(f"{path}/verdicts")
     gone = broadcast_if_small(verdicts.filter("NOT stays").select("_id", "_text"), 48)
-    same = docs[key].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_text"))
-    left = docs.join(gone, same, "left_anti")
+    left = rows_without(
+        docs,
+        gone,
+        lambda doc: doc.getField(key).eqNullSafe(F.col("_id")) & (_text_id(doc.getField("text")) == F.col("_text")),
+    )
     if verdicts.filter("stays AND n > 1").isEmpty():
         return left
     return left.dropDuplicates([key, "text"])

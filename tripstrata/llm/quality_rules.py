@@ -34,11 +34,11 @@ WINDOW = 5
 _SHARES = (0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.75, 0.9)
 # Rule, its measure, and the cutoffs that may be chosen for it.
 RULES: dict[str, tuple[str, tuple[float, ...]]] = {
-    "symbols": ("n_symbols / n_words", (*_SHARES, 1.0, 2.0)),
+    "symbols": ("try_divide(n_symbols, n_words)", (*_SHARES, 1.0, 2.0)),
     "capitals": ("n_capitals / greatest(word_chars, 1)", _SHARES),
     "repeated_lines": ("n_dup_lines / greatest(n_lines, 1)", _SHARES),
-    "repeated_words": ("n_repeat_words / n_words", _SHARES),
-    "long_words": ("word_chars / n_words", (6.0, 7.0, 8.0, 9.0, 10.0, 12.0, 15.0, 20.0, 40.0)),
+    "repeated_words": ("try_divide(n_repeat_words, n_words)", _SHARES),
+    "long_words": ("try_divide(word_chars, n_words)", (6.0, 7.0, 8.0, 9.0, 10.0, 12.0, 15.0, 20.0, 40.0)),
 }
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
