@@ -13,7 +13,7 @@ probabilities of their shard, and only a partial sum per document leaves a shard
 Texts are never shuffled, and a text copied a million times is a million rows of
 a sum that combines inside each task.
 
-Thresholds are quantiles of the trusted documents of each language.
+Thresholds come from quantiles of the trusted documents of each language.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ SLAB_DOCUMENTS = 400_000
 BLOCK_DOCUMENTS = 2048
 # Trusted documents that a language needs for thresholds of its own.
 LEAST_TRUSTED = 30
-# A document is rejected beyond MIDDLE + SLACK * (HIGH - MIDDLE) of the log perplexity.
+# A limit is MIDDLE + SLACK * (HIGH - MIDDLE) of the quantiles of trusted documents.
 MIDDLE, HIGH, SLACK = 0.5, 0.99, 2.0
 
 _BITS = 21  # of a code point
@@ -262,9 +262,11 @@ def classify(
 ) -> DataFrame:
     """``key, lang, text_key, perplexity, threshold, kept``, one row for each row of ``docs``.
 
-    Trusted are the ids whose labels all say good.  A language without enough
-    trusted documents takes the threshold over all languages; without any trusted
-    document there is no threshold and every text is kept.  A text without
+    Trusted are the ids whose labels all say good.  Two limits come from quantiles of
+    the trusted documents of a language, one on the log perplexity and one on its
+    distance from the middle in standard errors of a text of that length; a text is
+    rejected beyond both.  A language without enough trusted documents takes the
+    limits over all languages; without any trusted document every text is kept.  A text without
     characters has no perplexity and is rejected.
     """
     spark = docs.sparkSession
@@ -274,25 +276,39 @@ def classify(
     trusted = spark.read.parquet(f"{path}/trusted")
     scores = perplexities(docs, trusted, key)
     lang = F.coalesce(F.col(language).cast("string"), F.lit("")).alias("lang")
-    rows = docs.select(F.col(key).alias("key"), lang, text_key(text_of()).alias("text_key"))
+    text = text_of()
+    rows = docs.select(
+        F.col(key).alias("key"), lang, text_key(text).alias("text_key"), F.greatest(F.length(text), F.lit(1)).alias("size")
+    )
     rows.join(scores, "text_key", "left").write.parquet(f"{path}/scored")
     scored = spark.read.parquet(f"{path}/scored")
-
     held = scored.join(broadcast_if_small(trusted, 64), "key", "left_semi").filter("log_perplexity IS NOT NULL")
-    quantiles = F.percentile_approx("log_perplexity", [MIDDLE, HIGH], 10_000)
-    limit = F.get("q", F.lit(0)) + SLACK * (F.get("q", F.lit(1)) - F.get("q", F.lit(0)))
-    overall = held.agg(quantiles.alias("q")).select(limit.alias("limit")).scalar()
-    per_language = (
-        held.groupBy("lang")
-        .agg(quantiles.alias("q"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= LEAST_TRUSTED)
-        .select("lang", limit.alias("limit"))
-    )
-    per_language.write.parquet(f"{path}/limits")
-    limits = broadcast_if_small(spark.read.parquet(f"{path}/limits"), 256)
-    threshold = F.coalesce("limit", overall)
+
+    def limits(value: Column, frame: DataFrame, name: str) -> None:
+        """Write middle and limit of a value per language, and over all of them as null."""
+        found = F.percentile_approx(value, [MIDDLE, HIGH], 10_000)
+        middle, high = F.get("q", F.lit(0)), F.get("q", F.lit(1))
+        pair = (middle.alias(f"{name}_middle"), (middle + SLACK * (high - middle)).alias(f"{name}_limit"))
+        own = frame.groupBy("lang").agg(found.alias("q"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_TRUSTED)
+        everywhere = frame.agg(found.alias("q")).select(F.lit(None).cast("string").alias("lang"), *pair)
+        own.select("lang", *pair).unionByName(everywhere).write.parquet(f"{path}/{name}")
+
+    def limited(frame: DataFrame, name: str) -> DataFrame:
+        """The rows with the middle and the limit of their language."""
+        table = spark.read.parquet(f"{path}/{name}")
+        general = table.filter("lang IS NULL").select(F.struct(f"{name}_middle", f"{name}_limit")).scalar()
+        joined = frame.join(broadcast_if_small(table.filter("lang IS NOT NULL"), 256), "lang", "left")
+        both = [f"{name}_middle", f"{name}_limit"]
+        return joined.withColumns({c: F.coalesce(c, general.getField(c)) for c in both})
+
+    limits(F.col("log_perplexity"), held, "level")
+    # Short texts stray further: their distance from the middle counts in standard errors.
+    errors = (F.col("log_perplexity") - F.col("level_middle")) * F.sqrt("size")
+    limits(errors, limited(held, "level"), "error")
+    judged = limited(limited(scored, "level"), "error")
+    threshold = F.greatest("level_limit", F.col("level_middle") + F.col("error_limit") / F.sqrt("size"))
     kept = F.coalesce(F.col("log_perplexity") <= threshold, F.col("log_perplexity").isNotNull())
-    return scored.join(limits, "lang", "left").select(
+    return judged.select(
         F.col("key").alias(key),
         "lang",
         "text_key",
