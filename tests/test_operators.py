@@ -327,7 +327,7 @@ def test_source_metrics_with_one_metric_keeps_its_name(trips):
 
 
 def test_metric_series(trips):
-    series = metric_series(source_metrics(trips, ["yellow"]), ["yellow"], ["max_fare"])
+    series = metric_series(source_metrics(trips, ["yellow"], unlisted="drop"), ["yellow"], ["max_fare"])
     assert series.collect() == [(date(2024, 1, 1), 6.0), (date(2024, 1, 2), 4.0)]
 
 
@@ -402,3 +402,52 @@ def test_histogram_2d_skips_rows_without_both_numbers(spark):
     )
     assert sorted(histogram_2d(df, "x", "y", 2, 2).collect()) == [(0, 0, 1), (1, 1, 2)]
     assert sorted(histogram_2d(df, "y", "y", 2, 2).collect()) == [(0, 0, 2), (1, 1, 2)]
+
+
+def test_unlisted_sources_fail_unless_dropped(spark):
+    trips = spark.createDataFrame(
+        [(datetime(2024, 1, 1), s, 1.0, 2.0) for s in ("green", "red", None)],
+        "pickup_datetime TIMESTAMP, source STRING, fare_amount DOUBLE, trip_distance DOUBLE",
+    )
+    with pytest.raises(Exception, match="not listed"):
+        source_metrics(trips, ["green"]).collect()
+    with pytest.raises(Exception, match="not listed: null"):
+        source_metrics(trips.filter("source IS NULL"), ["green"]).collect()
+    assert source_metrics(trips, ["green"], unlisted="drop").first().green_total_trips == 1
+    with pytest.raises(ValueError, match="unlisted"):
+        source_metrics(trips, ["green"], unlisted="keep")
+
+
+def test_excluding_no_date_keeps_all_rows(spark):
+    df = spark.createDataFrame([(date(2024, 1, 1),), (None,)], "date DATE")
+    assert exclude_dates(df, []).count() == 2
+
+
+def test_null_comes_first_among_ignored_columns(spark):
+    df = spark.createDataFrame([(1, None, 2), (1, 5, None)], "k INT, x INT, y INT")
+    assert dedup_rows(df.drop("y"), ignore=["x"]).collect() == [(1, None)]
+    assert dedup_rows(df, ignore=["x", "y"]).collect() == [(1, None, 2)]
+
+
+def test_histogram_of_infinite_values_and_large_constants(spark):
+    values = [float("inf"), float("-inf"), float("nan"), None, 1.0, 2.0]
+    rows = histogram(spark.createDataFrame([(v,) for v in values], "x DOUBLE"), "x", 2).collect()
+    assert sum(r.n for r in rows) == 2
+    for constant in (1e17, -1e17, 0.0, 3.0):
+        rows = histogram(spark.createDataFrame([(constant,)] * 3, "x DOUBLE"), "x", 4).collect()
+        assert sum(r.n for r in rows) == 3 and all(r.low < r.high for r in rows)
+
+
+def test_exact_quantiles_of_doubles_that_share_a_single(spark):
+    """300,000 doubles of one single-precision value: every window stays small."""
+    df = spark.range(300_000).select((F.lit(1.7e9) + F.col("id") * 1e-4).alias("x"))
+    exact = [1.7e9 + k * 1e-4 for k in (74_999, 224_999)]
+    assert quantile_bounds(df, "x", relative_error=0.0).first()[0] == exact
+
+
+def test_exact_quantiles_refuse_what_no_double_holds(spark):
+    df = spark.createDataFrame([(9007199254740993,), (1,)], "x LONG")
+    with pytest.raises(Exception, match="no double"):
+        quantile_bounds(df, "x", relative_error=0.0).collect()
+    fine = spark.createDataFrame([(9007199254740992,), (None,)], "x LONG")
+    assert quantile_bounds(fine, "x", relative_error=0.0).first()[0] == [2.0**53] * 2

@@ -102,7 +102,7 @@ def test_exact_quantiles_share_one_shuffle_of_the_values(spark):
     text = plan(quantile_bounds(lines, "l_extendedprice", relative_error=0.0), run=True)
     final = text.split("== Initial Plan ==")[0]
     assert len(re.findall(r"FileScan", final)) == 1
-    assert final.count("ReusedExchange") == 2
+    assert final.count("ReusedExchange") == 3
     assert "Cartesian" not in text and "NestedLoop" not in text
     assert "ReadSchema: struct<l_extendedprice:double>" in text
 
@@ -159,3 +159,9 @@ def test_silver_below_the_stage_has_one_shuffle(spark):
 def test_time_literals_fold(spark, last):
     text = whole_plan(spark, filter_time_range(table(spark, SF_DIR, "events"), "ts", ("2024-01-01", last)))
     assert "LessThanOrEqual(ts,2024-01-31T00:00" in text
+
+
+def test_profile_sorts_no_rows(spark):
+    """Text is profiled from its distinct values, by hash."""
+    text = plan(column_profile(table(spark, SF_DIR, "orders"), ["o_orderpriority", "o_totalprice"]))
+    assert not re.search(r"\bSort \[|SortAggregate\(key=\[[^\]]", text)

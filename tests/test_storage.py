@@ -33,6 +33,20 @@ def test_scratch_lies_under_the_shared_folder(spark):
     assert scratch_dir(spark, "a") != scratch_dir(spark, "a")
 
 
+def test_local_session_without_the_setting_gets_a_folder():
+    class Local:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "local[2]"}.get(key, default)
+
+        class sparkContext:
+            applicationId = "local-test"
+
+    one, two = scratch_dir(Local, "a"), scratch_dir(Local, "a")
+    assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     class Cluster:
         class conf:
@@ -74,6 +88,79 @@ def test_append_returns_the_schema_to_read_and_to_append_with(spark, path):
         writers.append_evolving(load(spark, [(1,)], "b INT", "2024-01-04"), path, before=known)
 
 
+def test_names_are_compared_without_case(spark, path):
+    writers.append_evolving(load(spark, [(1.0,)], "airport_fee DOUBLE", "2024-01-01"), path)
+    schema = writers.append_evolving(load(spark, [(2.0, 7)], "Airport_fee DOUBLE, b INT", "2024-01-02"), path)
+    assert [f.name for f in schema if f.name.lower() == "airport_fee"] == ["airport_fee"]
+    rows = readers.read_layer(spark, path).select("airport_fee", "b").orderBy("airport_fee").collect()
+    assert [tuple(r) for r in rows] == [(1.0, None), (2.0, 7)]
+    with pytest.raises(TypeError, match="airport_fee"):
+        writers.append_evolving(load(spark, [("x",)], "AIRPORT_FEE STRING", "2024-01-03"), path)
+
+
+def test_loads_read_no_old_footers(spark, path, jobs_run):
+    """The work of a load does not grow with the loads before it."""
+    jobs = []
+    for n in range(6):
+        df = load(spark, [(n,)], "a INT", f"2024-01-0{n + 1}").repartition(2)
+        jobs.append(jobs_run(lambda df=df: writers.append_evolving(df, path)))
+    assert len(set(jobs[1:])) == 1
+    assert readers.recorded_schema(spark, path).names == ["a", "ingest_date", "source"]
+    assert readers.read_layer(spark, path).count() == 6
+
+
+def test_compaction_and_registration_keep_added_columns(spark, path):
+    name = f"evolved_{uuid4().hex}"
+    writers.append_evolving(load(spark, [(1,)], "a INT", "2024-01-01"), f"{path}/t")
+    assert "b" not in writers.register_table(spark, name, f"{path}/t", partition_by=["ingest_date"]).columns
+    writers.append_evolving(load(spark, [(2, "x")], "a INT, b STRING", "2024-01-02"), f"{path}/t")
+    packed = writers.compact_table(spark, f"{path}/t", f"{path}/packed", ["ingest_date"])
+    shown = writers.register_table(spark, name, f"{path}/t", partition_by=["ingest_date"])
+    for table in (packed, shown, readers.read_layer(spark, f"{path}/packed")):
+        assert sorted(map(tuple, table.select("a", "b").collect())) == [(1, None), (2, "x")]
+    with pytest.raises(ValueError, match="shows"):
+        writers.register_table(spark, name, f"{path}/packed", partition_by=["ingest_date"])
+
+
+def test_overwrite_under_a_dynamic_session(spark, path):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for day in ("2024-01-01", "2024-01-02"):
+            writers.overwrite(spark.createDataFrame([(1, day)], "n INT, date STRING"), path, ["date"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert readers.read_layer(spark, path).count() == 1
+
+
+def test_rebalance_needs_adaptive_execution(spark, path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="adaptive"):
+            writers.overwrite(spark.range(3).withColumn("k", F.lit(1)), path, ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_publish_again(spark, path):
+    """A second publish shows its own rows, and the plan of the first keeps its files."""
+    name = f"gold_{uuid4().hex}"
+
+    def day(n):
+        return spark.createDataFrame([(n, date(2024, 1, n))], "n INT, date DATE")
+
+    first = flows.publish(day(1), f"{path}/gold", name, compacted_path=f"{path}/packed")
+    second = flows.publish(day(2), f"{path}/gold", name)
+    assert [r.n for r in second.collect()] == [r.n for r in spark.table(name).collect()] == [2]
+    assert [r.n for r in first.collect()] in ([1], [2])
+    wider = day(3).withColumn("m", F.lit(1))
+    assert flows.publish(wider, f"{path}/gold", name).select("n", "m").collect() == [(3, 1)]
+    empty = flows.publish(day(1).limit(0), f"{path}/gold", name)
+    assert empty.count() == 0 and spark.table(name).count() == 0
+    assert flows.publish(day(1).limit(0), f"{path}/plain").count() == 0
+    with pytest.raises(ValueError, match="not published"):
+        flows.publish(day(1), f"{path}/elsewhere", name)
+
+
 def test_append_refuses_another_type(spark, path):
     writers.append_evolving(load(spark, [(1,)], "a INT", "2024-01-01"), path)
     with pytest.raises(TypeError, match="'a'"):
@@ -130,7 +217,7 @@ def test_registered_table_sees_partitions(spark, path):
     df = spark.range(6).withColumn("k", F.col("id") % 3)
     writers.overwrite(df, path, ["k"])
     for _ in range(2):
-        assert writers.register_table(spark, name, path, partitioned=True).count() == 6
+        assert writers.register_table(spark, name, path, partition_by=["k"]).count() == 6
     writers.append_fixed(df, path, ["k"])
     assert writers.refresh_table(spark, name, partitioned=True).count() == 12
 
@@ -187,6 +274,21 @@ def test_csv_with_and_without_schema(spark, path):
     assert sorted(given.collect()) == sorted(readers.read_csv(spark, path).collect()) == [(1, "a"), (2, "b")]
 
 
+def test_stage_leaves_earlier_stages_alone(spark, path):
+    first = writers.stage(spark.range(3), path)
+    assert writers.stage(first.filter("id > 0"), path).count() == 2
+    assert first.count() == 3
+
+
+def test_csv_schema_must_fit(spark, path):
+    spark.createDataFrame([(1, "x")], "a INT, b STRING").write.csv(path, header=True)
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        readers.read_csv(spark, path, "b STRING, a STRING").collect()
+    with pytest.raises(Exception, match="(?i)malformed|cast|parse"):
+        readers.read_csv(spark, path, "a INT, b INT").collect()
+    assert readers.read_csv(spark, path, "a INT, b INT", mode="PERMISSIVE").collect() == [(1, None)]
+
+
 def test_dimensions(spark, path):
     spark.createDataFrame([(1, "a")], "LocationID INT, Zone STRING").write.csv(f"{path}/csv", header=True)
     paths = flows.dimensions(spark, path, f"{path}/csv")

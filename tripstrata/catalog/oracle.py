@@ -144,6 +144,20 @@ _ORDER_COLUMNS = {
     "o_orderpriority": False,
 }
 
+_TWO_LOADS = """
+SELECT *, CAST(NULL AS DOUBLE) AS c_debt, DATE '2024-02-01' AS ingest_date, 'first' AS source FROM customer
+UNION ALL BY NAME
+SELECT *, -c_acctbal AS c_debt, DATE '2024-02-02' AS ingest_date, 'second' AS source FROM customer"""
+
+_FLOW_METRICS = f"""WITH {_YELLOW_SILVER}, {_GREEN_SILVER},
+trips AS (
+  SELECT pickup_datetime, source, fare_amount, trip_distance FROM yellow_silver
+  UNION ALL
+  SELECT pickup_datetime, source, fare_amount, trip_distance FROM green_silver
+)
+SELECT * FROM ({_pivot("trips", "pickup_datetime", ("yellow", "green"))})
+WHERE date <> DATE '2024-01-31'"""
+
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT * FROM orders",
     "scan_csv": "SELECT * FROM customer",
@@ -157,18 +171,23 @@ per_code AS (
 )
 SELECT per_code.vendor_id, per_code.rate_code_id, total_trips, vendor_name, rate_description
 FROM per_code LEFT JOIN vendors USING (vendor_id) LEFT JOIN rate_codes USING (rate_code_id)""",
-    "dim_overwrite": """SELECT s_suppkey AS location_id, s_name AS zone_name,
-       s_nationkey AS region_id, s_acctbal AS account_balance FROM supplier""",
-    "ingest_metadata": "SELECT *, DATE '2024-02-01' AS ingest_date, 'orders' AS source FROM orders",
-    "bronze_append": """
-SELECT *, CAST(NULL AS DOUBLE) AS c_debt, DATE '2024-02-01' AS ingest_date, 'first' AS source FROM customer
+    "dim_overwrite": f"""
+SELECT 'dim_location' AS dimension, s_suppkey AS id, s_name AS name,
+       s_nationkey AS region_id, s_acctbal AS account_balance FROM supplier
+UNION ALL BY NAME
+SELECT 'dim_vendor' AS dimension, CAST(id AS BIGINT) AS id, name FROM (VALUES {_values(VENDORS)}) t(id, name)
 UNION ALL BY NAME
-SELECT *, -c_acctbal AS c_debt, DATE '2024-02-02' AS ingest_date, 'second' AS source FROM customer""",
+SELECT 'dim_rate_code' AS dimension, CAST(id AS BIGINT) AS id, name FROM (VALUES {_values(RATE_CODES)}) t(id, name)""",
+    "ingest_metadata": "SELECT *, DATE '2024-02-01' AS ingest_date, 'orders' AS source FROM orders",
+    "bronze_append": _TWO_LOADS,
+    "compact_evolved": _TWO_LOADS,
+    "register_evolved": _TWO_LOADS,
     "silver_append": """
 SELECT *, DATE '2024-02-01' AS ingest_date, 'customer' AS source FROM customer
 UNION ALL BY NAME
 SELECT *, DATE '2024-02-02' AS ingest_date, 'customer' AS source FROM customer""",
     "gold_overwrite": _DAILY,
+    "gold_published": _DAILY,
     "staged_bronze": "SELECT *, DATE '2024-02-01' AS ingest_date, 'part' AS source FROM part",
     "register_table": "SELECT * FROM part",
     "compact_table": "SELECT * FROM orders",
@@ -184,6 +203,7 @@ SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts <= TIMESTAMP '202
     "quantile_bounds": """
 SELECT quantile_disc(l_extendedprice, 0.25) AS q1, quantile_disc(l_extendedprice, 0.75) AS q3
 FROM lineitem""",
+    "quantile_sketch": "SELECT * FROM (VALUES (0.25::DOUBLE, true), (0.75::DOUBLE, true)) t(p, within)",
     "filter_iqr": f"""
 WITH fences AS ({_fences("events", "value")})
 SELECT events.* FROM events, fences WHERE value BETWEEN low AND high""",
@@ -224,8 +244,7 @@ SELECT {', '.join(name for name in YELLOW_COLUMNS if name in GREEN_COLUMNS)} FRO
 UNION ALL
 SELECT {', '.join(name for name in YELLOW_COLUMNS if name in GREEN_COLUMNS)} FROM green""",
     "source_metrics": f"""{_EVENTS_WITH}
-{_pivot("trips", "pickup_datetime", EVENT_SOURCES,
-        "WHERE pickup_datetime BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31'")}""",
+{_pivot("trips", "pickup_datetime", EVENT_SOURCES)}""",
     "preview": "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 31",
     "column_profile": " UNION ALL ".join(_profile(*item) for item in _ORDER_COLUMNS.items()),
     "histogram": """
@@ -248,16 +267,13 @@ SELECT least(CAST(floor((l_extendedprice - x_lo) / ((x_hi - x_lo) / 50)) AS BIGI
 FROM lineitem, extent GROUP BY 1, 2""",
     "metric_series": f"""{_EVENTS_WITH}
 SELECT date, {', '.join(f'{s}_{m}' for m in ('avg_fare', 'total_trips', 'max_fare') for s in EVENT_SOURCES)}
-FROM ({_pivot("trips", "pickup_datetime", EVENT_SOURCES,
-              "WHERE pickup_datetime BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31'")})""",
+FROM ({_pivot("trips", "pickup_datetime", EVENT_SOURCES)})""",
     "silver_yellow": f"WITH {_YELLOW_SILVER} SELECT * FROM yellow_silver",
     "silver_green": f"WITH {_GREEN_SILVER} SELECT * FROM green_silver",
-    "medallion": f"""WITH {_YELLOW_SILVER}, {_GREEN_SILVER},
-trips AS (
-  SELECT pickup_datetime, source, fare_amount, trip_distance FROM yellow_silver
-  UNION ALL
-  SELECT pickup_datetime, source, fare_amount, trip_distance FROM green_silver
-)
-SELECT * FROM ({_pivot("trips", "pickup_datetime", ("yellow", "green"))})
-WHERE date <> DATE '2024-01-31'""",
+    "medallion": _FLOW_METRICS,
+    "medallion_across_loads": _FLOW_METRICS,
+    "medallion_daily": f"""WITH {_YELLOW_SILVER}
+SELECT CAST(pickup_datetime AS DATE) AS date, count(*) AS total_trips, sum(fare_amount) AS total_fare_amount,
+       avg(trip_distance) AS average_trip_distance, avg(trip_duration) AS average_trip_duration
+FROM yellow_silver GROUP BY 1""",
 }

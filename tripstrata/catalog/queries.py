@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ from tripstrata.operators.filters import (
 )
 from tripstrata.operators.histograms import histogram, histogram_2d
 from tripstrata.operators.profile import column_profile
-from tripstrata.operators.quantiles import quantile_bounds
+from tripstrata.operators.quantiles import QUARTILES, quantile_bounds
 from tripstrata.operators.summaries import (
     daily_summary,
     metric_series,
@@ -61,6 +62,7 @@ from tripstrata.sources.scratch import scratch_dir
 
 AS_OF = "2024-02-01"
 EXACT = 0.0
+SKETCH = 0.05
 
 
 # -- sources, sinks, table maintenance ---------------------------------------
@@ -94,7 +96,10 @@ def dim_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three dimensions, written twice; suppliers stand in for locations."""
+    """All three dimensions, written twice; suppliers stand in for locations.
+
+    The result has the rows of all three under one set of columns.
+    """
     places = table(spark, sf_dir, "supplier").toDF(
         "LocationID", "Zone Name", "Region-ID", "accountBalance"
     )
@@ -102,7 +107,18 @@ def dim_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     places.write.csv(f"{root}/csv", header=True)
     for _ in range(2):
         paths = flows.dimensions(spark, root, f"{root}/csv", places.schema)
-    return readers.read_layer(spark, paths["dim_location"])
+    names = {
+        "dim_vendor": ("vendor_id", "vendor_name"),
+        "dim_rate_code": ("rate_code_id", "rate_description"),
+        "dim_location": ("location_id", "zone_name"),
+    }
+    parts = [
+        readers.read_layer(spark, paths[name])
+        .withColumnsRenamed({key: "id", label: "name"})
+        .withColumn("dimension", F.lit(name))
+        for name, (key, label) in names.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,11 +127,9 @@ def ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads; the second brings one more column."""
-    customers = table(spark, sf_dir, "customer")
     path = scratch_dir(spark, "bronze")
-    flows.bronze(customers, "first", path, AS_OF)
-    flows.bronze(customers.withColumn("c_debt", -F.col("c_acctbal")), "second", path, "2024-02-02")
-    return readers.read_layer(spark, path, evolved=True)
+    _two_loads(spark, sf_dir, path)
+    return readers.read_layer(spark, path)
 
 
 def silver_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,10 +156,53 @@ def staged_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_layer(spark, path)
 
 
+def _let_go(spark: SparkSession, name: str) -> DataFrame:
+    """What a registered table shows, read from where it lies; the name is free again."""
+    shown = spark.table(name)
+    location = writers.table_location(spark, name)
+    rows = spark.read.schema(shown.schema).parquet(location)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def register_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "registered")
+    path, name = scratch_dir(spark, "registered"), f"parts_{uuid4().hex}"
     writers.overwrite(table(spark, sf_dir, "part"), path, partition_by=["p_type"])
-    return writers.register_table(spark, f"parts_{uuid4().hex}", path, partitioned=True)
+    writers.register_table(spark, name, path, partition_by=["p_type"])
+    return _let_go(spark, name)
+
+
+def _two_loads(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Customers twice; the second load brings one more column."""
+    customers = table(spark, sf_dir, "customer")
+    flows.bronze(customers, "first", path, AS_OF)
+    flows.bronze(customers.withColumn("c_debt", -F.col("c_acctbal")), "second", path, "2024-02-02")
+
+
+def register_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name given before the second load, refreshed after it."""
+    path, name = scratch_dir(spark, "evolving"), f"customers_{uuid4().hex}"
+    flows.bronze(table(spark, sf_dir, "customer"), "first", path, AS_OF)
+    writers.register_table(spark, name, path, partition_by=["ingest_date"])
+    second = table(spark, sf_dir, "customer").withColumn("c_debt", -F.col("c_acctbal"))
+    flows.bronze(second, "second", path, "2024-02-02")
+    writers.register_table(spark, name, path, partition_by=["ingest_date"])
+    return _let_go(spark, name)
+
+
+def compact_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "compact-evolved")
+    _two_loads(spark, sf_dir, f"{root}/loose")
+    return writers.compact_table(spark, f"{root}/loose", f"{root}/compact", ["ingest_date"])
+
+
+def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write, register, compact and repoint, twice: first half the days, then all."""
+    root, name = scratch_dir(spark, "published"), f"daily_{uuid4().hex}"
+    daily = _daily(spark, sf_dir)
+    for rows in (daily.filter("day(date) < 15").withColumn("total_trips", F.lit(0).cast("long")), daily):
+        flows.publish(rows, f"{root}/gold", name, compacted_path=f"{root}/compact")
+    return _let_go(spark, name)
 
 
 def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,8 +308,7 @@ def union_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    window = filter_time_range(event_trips(spark, sf_dir), "pickup_datetime", ("2024-01-01", "2024-01-31"))
-    return source_metrics(window, EVENT_SOURCES)
+    return source_metrics(event_trips(spark, sf_dir), EVENT_SOURCES)
 
 
 def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,6 +325,25 @@ def quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prices.selectExpr("quantiles[0] AS q1", "quantiles[1] AS q3")
 
 
+def sketched_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the sketch of the default error finds values whose ranks lie within it."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("v"))
+    found = quantile_bounds(lines, "v", relative_error=SKETCH).scalar()
+    rows = lines.withColumn("q", found)
+    counts = [F.count(F.lit(1)).alias("n")]
+    for i in range(2):
+        counts.append(F.count_if(F.col("v") < F.get("q", F.lit(i))).alias(f"below{i}"))
+        counts.append(F.count_if(F.col("v") <= F.get("q", F.lit(i))).alias(f"upto{i}"))
+    within = [
+        F.struct(
+            F.lit(p).alias("p"),
+            ((F.col(f"below{i}") <= (p + SKETCH) * F.col("n")) & (F.col(f"upto{i}") >= (p - SKETCH) * F.col("n"))).alias("within"),
+        )
+        for i, p in enumerate(QUARTILES)
+    ]
+    return rows.agg(*counts).select(F.inline(F.array(*within)))
+
+
 def price_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram(table(spark, sf_dir, "lineitem"), "l_extendedprice", 50)
 
@@ -295,24 +370,46 @@ def silver_green(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.silver(loaded, rules, scratch_dir(spark, "green-stage"), EXACT)
 
 
-def medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _whole_flow(spark: SparkSession, sf_dir: str, **options) -> dict[str, DataFrame]:
     """Both feeds to gold.  Every raw row arrives twice in its load."""
     root = scratch_dir(spark, "medallion")
     green, yellow = green_raw(spark, sf_dir), yellow_raw(spark, sf_dir)
     unsigned = tuple(c for c in GREEN.unsigned if c in green.columns)
-    gold = flows.medallion(
-        (
-            flows.Feed("yellow", yellow.unionByName(yellow), YELLOW),
-            flows.Feed("green", green.unionByName(green), replace(GREEN, unsigned=unsigned)),
-        ),
+    feeds = (
+        flows.Feed("yellow", yellow.unionByName(yellow), YELLOW),
+        flows.Feed("green", green.unionByName(green), replace(GREEN, unsigned=unsigned)),
+    )
+    loads = options.pop("loads", (AS_OF,))
+    for day in loads[:-1]:
+        for feed in feeds:
+            flows.bronze(feed.raw, feed.name, f"{root}/layers/bronze/{feed.name}", day)
+    names = {name: f"{name}_{uuid4().hex}" for name in ("daily_summary", "source_metrics")}
+    flows.medallion(
+        feeds,
         f"{root}/layers",
         excluded_dates=["2024-01-31"],
-        as_of=AS_OF,
+        as_of=loads[-1],
         relative_error=EXACT,
         stage_root=f"{root}/stage",
-        tables={"source_metrics": f"source_metrics_{uuid4().hex}"},
+        tables=names,
+        **options,
     )
-    return gold["source_metrics"]
+    return {name: _let_go(spark, registered) for name, registered in names.items()}
+
+
+def medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole_flow(spark, sf_dir)["source_metrics"]
+
+
+def medallion_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other gold table, compacted."""
+    return _whole_flow(spark, sf_dir, compact=True)["daily_summary"]
+
+
+def medallion_across_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that share all their rows, which count once."""
+    loads = (AS_OF, "2024-02-02")
+    return _whole_flow(spark, sf_dir, loads=loads, ignore=["ingest_date"])["source_metrics"]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -326,13 +423,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_overwrite": gold_overwrite,
     "staged_bronze": staged_bronze,
     "register_table": register_table,
+    "register_evolved": register_evolved,
     "compact_table": compact_table,
+    "compact_evolved": compact_evolved,
+    "gold_published": gold_published,
     "snake_case_columns": snake_case_names,
     "drop_columns": drop_part_columns,
     "filter_valid_range": valid_range,
     "filter_positive": positive,
     "filter_time_range": time_range,
     "quantile_bounds": quartiles,
+    "quantile_sketch": sketched_quartiles,
     "filter_iqr": iqr,
     "exclude_dates": exclude,
     "fill_na": fill,
@@ -355,4 +456,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_yellow": silver_yellow,
     "silver_green": silver_green,
     "medallion": medallion,
+    "medallion_daily": medallion_daily,
+    "medallion_across_loads": medallion_across_loads,
 }

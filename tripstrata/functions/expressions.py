@@ -37,3 +37,8 @@ def ratio_or_zero(amount: Column, per: Column) -> Column:
 def is_number(value: Column) -> Column:
     """Neither null nor NaN."""
     return value.isNotNull() & ~F.isnan(value)
+
+
+def is_finite(value: Column) -> Column:
+    """Neither null nor NaN nor infinite."""
+    return is_number(value) & (F.abs(value) < float("inf"))

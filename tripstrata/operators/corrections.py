@@ -23,15 +23,18 @@ def dedup_rows(df: DataFrame, ignore: Iterable[str] = ()) -> DataFrame:
 
     Columns in ``ignore`` take no part in the comparison; the copies are folded
     into the one whose ignored columns sort first, so the result does not
-    depend on the order in which tasks finish.  One ignored date or number keeps
-    the hash aggregate; several need a struct, which Spark aggregates by sorting.
+    depend on the order in which tasks finish.  Null sorts before any value.  One
+    ignored date or number keeps the hash aggregate; several need a struct, which Spark
+    aggregates by sorting.
     """
     ignored = present_columns(df, ignore)
     if not ignored:
         return df.distinct()
     keys = df.groupBy(*[name for name in df.columns if name not in ignored])
     if len(ignored) == 1:
-        return keys.agg(F.min(*ignored).alias(*ignored)).select(*df.columns)
+        (name,) = ignored
+        absent = F.count_if(F.col(name).isNull()) > 0
+        return keys.agg(F.when(~absent, F.min(name)).alias(name)).select(*df.columns)
     folded = keys.agg(F.min(F.struct(*ignored)).alias("_first"))
     return folded.select(
         *[F.col(f"_first.{name}").alias(name) if name in ignored else name for name in df.columns]

@@ -83,5 +83,9 @@ def filter_iqr(
 def exclude_dates(
     df: DataFrame, dates: Iterable[str | date], column: str = "date"
 ) -> DataFrame:
-    """Drop whole days.  A null date drops as well, as in any SQL inequality."""
-    return df.filter(all_of([F.col(column) != F.lit(d).cast("date") for d in dates]))
+    """Drop whole days.  A null date drops as well, as in any SQL inequality.
+
+    Without any date to drop the rows stay as they are, null dates too.
+    """
+    differs = [F.col(column) != F.lit(d).cast("date") for d in dates]
+    return df.filter(all_of(differs)) if differs else df

@@ -1,30 +1,34 @@
-"""Equal-width bin counts: the data behind a histogram or a scatter plot."""
+"""Equal-width bin counts: the data behind a histogram or a scatter plot.
+
+Null, NaN and infinite values have no bin and are left out.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.functions.expressions import all_of, is_number
+from tripstrata.functions.expressions import all_of, is_finite
 
 
 def _numeric(df: DataFrame, **columns: str) -> DataFrame:
-    """The named columns as doubles, under the given aliases, where all are numbers."""
+    """The named columns as doubles, under the given aliases, where all are finite numbers."""
     numbers = df.select(*[F.col(c).cast("double").alias(alias) for alias, c in columns.items()])
-    return numbers.filter(all_of([is_number(F.col(alias)) for alias in columns]))
+    return numbers.filter(all_of([is_finite(F.col(alias)) for alias in columns]))
 
 
 def _extent(numbers: DataFrame) -> DataFrame:
     """One row: per column the low edge and the high edge.
 
-    A column with a single value gets an extent of one around it.
+    A column with a single value gets an extent of one around it, or of a millionth
+    of its size if that is more, so that the edges differ from it.
     """
     columns = numbers.columns
     flat = numbers.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)])
 
     def edges(c: str) -> Column:
         low, high = F.col(f"min_{c}"), F.col(f"max_{c}")
-        pad = F.when(low == high, 0.5).otherwise(0.0)
+        pad = F.when(low == high, F.greatest(F.lit(0.5), F.abs(low) * 5e-7)).otherwise(0.0)
         return F.struct((low - pad).alias("low"), (high + pad).alias("high")).alias(c)
 
     return flat.select(F.struct(*[edges(c) for c in columns]).alias("extent"))

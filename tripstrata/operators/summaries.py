@@ -22,6 +22,7 @@ def daily_summary(
     duration: str = "trip_duration",
 ) -> DataFrame:
     """One row per day, oldest first; a null day comes first of all."""
+    # The names of the columns.
     return (
         df.groupBy(day_of(time_column))
         .agg(
@@ -46,6 +47,7 @@ def union_common(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def fare_and_distance(fare: str = "fare_amount", distance: str = "trip_distance") -> dict[str, Column]:
     """The metrics of the source comparison, by name."""
+    # The names of the metrics.
     return {
         "avg_fare": F.avg(fare),
         "min_fare": F.min(fare),
@@ -63,15 +65,24 @@ def source_metrics(
     time_column: str = "pickup_datetime",
     source_column: str = "source",
     metrics: Mapping[str, Column] | None = None,
+    unlisted: str = "error",
 ) -> DataFrame:
     """One row per day, one column ``<source>_<metric>`` per pair.
 
-    Name the ``sources``: the schema is then fixed and no job runs to find them.
+    A row whose source is not among the named ``sources``, or null, fails the job;
+    ``unlisted="drop"`` leaves it out of every column instead.  Name the ``sources``: the schema is then fixed and no job runs to find them.
     A day without trips of a source has null in all its columns, counts too.
     The pivot aggregates by (day, source) inside each task first, so a source
     with most of the rows shuffles no more than one row per day and task.
     """
+    if unlisted not in ("error", "drop"):
+        raise ValueError(f"unlisted must be error or drop, not {unlisted!r}")
     metrics = dict(metrics or fare_and_distance())
+    if sources is not None and unlisted == "error":
+        source = F.col(source_column)
+        message = F.concat(F.lit("source is not listed: "), F.coalesce(source.cast("string"), F.lit("null")))
+        known = F.when(source.isin(list(sources)), source).otherwise(F.raise_error(message))
+        df = df.withColumn(source_column, known)
     pivoted = (
         df.groupBy(day_of(time_column))
         .pivot(source_column, list(sources) if sources is not None else None)

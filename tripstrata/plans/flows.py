@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +50,10 @@ from tripstrata.sources.writers import (
     overwrite,
     register_table,
     repoint_table,
+    set_table_property,
     stage,
+    table_location,
+    table_property,
 )
 
 
@@ -124,6 +128,10 @@ def dimensions(
     return {name: f"{root}/{name}" for name in tables}
 
 
+# Property of a published table: the root that its folders come from.
+PUBLISHED_FROM = "published_from"
+
+
 def publish(
     df: DataFrame,
     path: str,
@@ -131,25 +139,34 @@ def publish(
     compacted_path: str | None = None,
     tasks: int = 32,
 ) -> DataFrame:
-    """Replace a gold table, one file per date; optionally register and compact it.
+    """Publish a gold table, one folder per date; optionally register and compact it.
 
     A gold table has a row per date, so its cost is that of creating the files.
     They are spread over ``tasks``; adaptive execution would pack rows this few
     into one task, which then creates file after file.
 
-    Compaction writes to ``compacted_path`` and then points the registered table
-    there, so a reader sees the old files or the new ones and never a mix.
+    With a ``table`` name, each publish writes a fresh folder under ``path``, compacts
+    it into a fresh folder under ``compacted_path`` when that is given, and then points
+    the table there, once: readers see the rows of one publish and never a mix, and
+    plans over the one before keep their files.  A name that was not published from
+    ``path`` is refused.  Without a name, ``path`` itself is replaced.
     """
-    spark = df.sparkSession
-    overwrite(df.repartition(tasks, "date"), path, partition_by=["date"], rebalance=False)
-    published = spark.read.parquet(path)
-    if table:
-        published = register_table(spark, table, path, partitioned=True)
+    spark, spread = df.sparkSession, df.repartition(tasks, "date")
+    by_date = ["date"]
+    known = table_location(spark, table) is not None if table else False
+    if known and table_property(spark, table, PUBLISHED_FROM) != path:
+        raise ValueError(f"{table} was not published from {path}")
+    target = f"{path}/v-{uuid4().hex}" if table else path
+    overwrite(spread, target, partition_by=by_date, rebalance=False)
+    if table and not known:
+        register_table(spark, table, target, partition_by=by_date, schema=df.schema)
+        set_table_property(spark, table, PUBLISHED_FROM, path)
     if compacted_path:
-        published = compact_table(spark, path, compacted_path, partition_by=["date"])
-        if table:
-            published = repoint_table(spark, table, compacted_path, partitioned=True)
-    return published
+        source, target = target, f"{compacted_path}/v-{uuid4().hex}"
+        compact_table(spark, source, target, partition_by=by_date, schema=df.schema)
+    if table:
+        return repoint_table(spark, table, target, partitioned=True, schema=df.schema)
+    return spark.read.schema(df.schema).parquet(target)
 
 
 @dataclass(frozen=True)
@@ -171,6 +188,8 @@ def medallion(
     relative_error: float = 0.05,
     stage_root: str | None = None,
     tables: Mapping[str, str] | None = None,
+    ignore: Iterable[str] = (),
+    compact: bool = False,
 ) -> dict[str, DataFrame]:
     """Bronze and silver of all feeds, then the two gold tables.
 
@@ -181,6 +200,9 @@ def medallion(
     Silver reads all of bronze, or the loads from ``since`` on, and is staged
     under ``stage_root``, by default a fresh path in the shared scratch folder.
     ``tables`` may map ``daily_summary`` and ``source_metrics`` to catalog names.
+    ``ignore`` names columns that do not make two rows differ: with ``ingest_date``
+    in it, copies that arrive in several loads count once.  ``compact`` rewrites the
+    gold tables into few files before they are shown.
     """
     tables = tables or {}
     spark = feeds[0].raw.sparkSession
@@ -190,10 +212,11 @@ def medallion(
         in_bronze, in_silver = f"{root}/bronze/{feed.name}", f"{root}/silver/{feed.name}"
         schema = bronze(feed.raw, feed.name, in_bronze, as_of, mode)
         loaded = read_layer(spark, in_bronze, schema=schema, since=since)
-        rows = silver(loaded, feed.rules, f"{stage_root}/{feed.name}", relative_error)
-        # Every load date of bronze is in these rows, in every task.
-        append_fixed(rows, in_silver, mode=mode, rebalance=True)
-        return read_layer(spark, in_silver)
+        rows = silver(loaded, feed.rules, f"{stage_root}/{feed.name}", relative_error, ignore)
+        # Without ``since`` every load date of bronze is in these rows, in every task;
+        # with it there is one date as a rule, which needs no shuffle to be together.
+        append_fixed(rows, in_silver, mode=mode, rebalance=since is None)
+        return read_layer(spark, in_silver, schema=rows.schema)
 
     cleaned = side_by_side(spark, clean, feeds)
     comparison = source_metrics(reduce(union_common, cleaned), [feed.name for feed in feeds])
@@ -202,7 +225,11 @@ def medallion(
         "source_metrics": exclude_dates(comparison, excluded_dates) if excluded_dates else comparison,
     }
     published = side_by_side(
-        spark, lambda name: publish(gold[name], f"{root}/gold/{name}", tables.get(name)), list(gold)
+        spark,
+        lambda name: publish(
+            gold[name], f"{root}/gold/{name}", tables.get(name), f"{root}/gold-compact/{name}" if compact else None
+        ),
+        list(gold),
     )
     return dict(zip(gold, published))
 

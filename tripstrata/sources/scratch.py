@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 
+# Folders made for local sessions that name none, by application.
+_made: dict[str, str] = {}
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder that all executors share.
@@ -21,6 +24,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(f"set {SHARED_FOLDER} to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(SHARED_FOLDER, shared)
+        app = spark.sparkContext.applicationId
+        shared = _made.setdefault(app, _made.get(app) or tempfile.mkdtemp(prefix="run-"))
     return f"{shared.rstrip('/')}/{label}-{uuid4().hex}"
