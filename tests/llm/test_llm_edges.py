@@ -250,7 +250,7 @@ def test_long_walks_fall_back_to_windows(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "ROUNDS", 1)
     counted = suffix_dedup.repeats(suffix_dedup.Surroundings(group, left, right))
     assert all((a == b).all() for a, b in zip(walked, counted, strict=True))
-    order = suffix_dedup.Surroundings(group, left, right).sorted()
+    order = suffix_dedup.Surroundings(group, left, right).right.sorted()
     assert [right[i] for i in order] == sorted(right)
 
 

@@ -20,6 +20,7 @@ from tripstrata.llm import (
     suffix_dedup,
     token_counts,
 )
+from tripstrata.llm.sql import ORACLE as ORACLE
 from tripstrata.sources.scratch import scratch_dir
 
 
@@ -88,4 +89,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": repeated_passages,
     "op10_byte_bpe": byte_bpe,
 }
-ORACLE: dict[str, str] = {"op8_license_scan": licenses.oracle_sql()}
