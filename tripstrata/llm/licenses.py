@@ -145,10 +145,16 @@ def scan_licenses(
         .write.parquet(path)
     )
     staged = spark.read.parquet(path)
-    split = (
+    # Words are staged too: a filter on what is made of them would move below them and
+    # split the segment anew for every word.
+    (
         staged.select("_row", F.posexplode("_segments").alias("_at", "_segment"))
         .select("_row", "_at", _words(F.col("_segment")).alias("_words"))
         .filter((F.size("_words") - 1 >= least) & F.arrays_overlap("_words", wanted))
+        .write.parquet(f"{path}-words")
+    )
+    split = (
+        spark.read.parquet(f"{path}-words")
         .select("_row", "_at", _bigrams(F.col("_words")).alias("_bigrams"))
         .filter(F.size("_bigrams").between(least, most))
         .select("_row", "_at", F.size("_bigrams").alias("_size"), F.explode("_bigrams").alias("bigram"))
