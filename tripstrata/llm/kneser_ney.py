@@ -8,7 +8,7 @@ or not.
 
 Scoring joins those tables with the documents shard by shard.  A task packs its
 documents into one block for each shard of trigrams: the distinct trigrams of the
-block, and per document their numbers and counts, three bytes each.  Blocks meet the
+block, and per document their numbers and counts, about a byte each once compressed.  Blocks meet the
 probabilities of their shard, and only a partial sum per document leaves a shard.
 Texts are never shuffled, and a text copied a million times is a million rows of
 a sum that combines inside each task.
@@ -33,13 +33,15 @@ from tripstrata.llm.common import (
     slices,
     text_key,
     text_of,
+    tidy,
 )
 from tripstrata.sources.scratch import scratch_dir
 
-SHARDS = 64
+SHARDS = 16
 # Documents whose blocks of one shard meet in one task.
 SLAB_DOCUMENTS = 400_000
-BLOCK_DOCUMENTS = 2048
+BLOCK_DOCUMENTS = 1024
+COUNT_DOCUMENTS = 256  # whose trigrams a task sorts at once
 # Trusted documents that a language needs for thresholds of its own.
 LEAST_TRUSTED = 30
 # A limit is MIDDLE + SLACK * (HIGH - MIDDLE) of the quantiles of trusted documents.
@@ -84,12 +86,12 @@ def count_trigrams(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, BLOCK_DOCUMENTS):
+            for part in slices(batch, COUNT_DOCUMENTS):
                 all_grams = [trigrams(t) for t in part.column("text").to_pylist()]
                 grams, counts = np.unique(np.concatenate([np.empty(0, np.int64), *all_grams]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], names=["gram", "n"])
 
-    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidy(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -160,16 +162,17 @@ def pack(texts: DataFrame) -> DataFrame:
     def blocks(part: pa.RecordBatch) -> pa.RecordBatch:
         keys = b"".join(part.column("key").to_pylist())
         found = [np.unique(trigrams(t), return_counts=True) for t in part.column("text").to_pylist()]
-        docs = np.repeat(np.arange(len(found)), [len(g) for g, _ in found])
+        docs = np.repeat(np.arange(len(found), dtype=np.int32), [len(g) for g, _ in found])
         grams = np.concatenate([np.empty(0, np.int64), *[g for g, _ in found]])
-        counts = np.concatenate([np.empty(0, np.int64), *[n for _, n in found]])
+        counts = np.concatenate([np.empty(0, np.int64), *[n for _, n in found]]).astype(np.int32)
+        found = [None] * len(found)
         times = np.maximum(1, -(-counts // 255))
         if len(times) and times.max() > 1:
             docs, grams, left = (np.repeat(x, times) for x in (docs, grams, counts))
             step = np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times)
             counts = np.minimum(255, left - 255 * step)
-        shards = shard_of(grams)
-        order = np.lexsort((docs, shards))
+        shards = shard_of(grams).astype(np.uint8)
+        order = np.argsort(shards, kind="stable")  # documents stay in order
         docs, grams, counts, shards = docs[order], grams[order], counts[order], shards[order]
         cuts = np.searchsorted(shards, np.arange(SHARDS + 1))
         rows = []
@@ -179,13 +182,19 @@ def pack(texts: DataFrame) -> DataFrame:
                 continue
             distinct, index = np.unique(grams[at], return_inverse=True)
             per_doc = np.bincount(docs[at], minlength=len(found)).astype("<u4")
+            # Numbers rise within a document; their steps are small, and compress
+            # well when bytes of the same weight stand together.
+            step = np.diff(index, prepend=0)
+            first = np.concatenate([[True], docs[at][1:] != docs[at][:-1]])
+            step = np.where(first, index, step).astype("<u2" if len(distinct) < 65536 else "<u4")
+            planes = step.view("u1").reshape(len(step), -1).T
             rows.append(
                 (
                     shard,
                     keys,
                     per_doc.tobytes(),
                     distinct.astype("<i8").tobytes(),
-                    index.astype("<u2" if len(distinct) < 65536 else "<u4").tobytes(),
+                    planes.tobytes(),
                     counts[at].astype("u1").tobytes(),
                 )
             )
@@ -202,7 +211,7 @@ def pack(texts: DataFrame) -> DataFrame:
             for part in slices(batch, BLOCK_DOCUMENTS):
                 yield blocks(part)
 
-    return texts.mapInArrow(run, _BLOCK)
+    return texts.mapInArrow(tidy(run), _BLOCK)
 
 
 def _score(blocks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
@@ -213,9 +222,14 @@ def _score(blocks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         keys = [block.keys[i : i + 16] for i in range(0, len(block.keys), 16)]
         distinct = np.frombuffer(block.grams, "<i8")
         counts = np.frombuffer(block.counts, "u1").astype(np.float64)
-        width = "<u2" if len(block.index) == 2 * len(counts) else "<u4"
-        values = logp[np.searchsorted(grams, distinct)][np.frombuffer(block.index, width)]
-        docs = np.repeat(np.arange(len(keys)), np.frombuffer(block.docs, "<u4"))
+        planes = np.frombuffer(block.index, "u1").reshape(-1, len(counts))
+        step = np.ascontiguousarray(planes.T).view(f"<u{len(planes)}").ravel()
+        per_doc = np.frombuffer(block.docs, "<u4").astype(np.int64)
+        docs = np.repeat(np.arange(len(keys)), per_doc)
+        sums = np.cumsum(step, dtype=np.int64)
+        starts = np.cumsum(per_doc) - per_doc
+        head = np.where(starts > 0, sums[np.maximum(starts, 1) - 1], 0)
+        values = logp[np.searchsorted(grams, distinct)][sums - head[docs]]
         sums = np.bincount(docs, values * counts, len(keys))
         sizes = np.bincount(docs, counts, len(keys))
         out.append(pd.DataFrame({"key": keys, "logp": sums, "n": sizes})[sizes > 0])
