@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import broadcast_if_small, fits, importable_in_tasks, map_batches, text_key, text_of
+from tripstrata.llm.common import importable_in_tasks, map_batches, text_key, text_of, tidy
 from tripstrata.sources.scratch import scratch_dir
 
 MATCH = 400
@@ -148,69 +148,56 @@ def find_anchors(texts: DataFrame) -> DataFrame:
     return map_batches(texts, run, _ANCHOR.format(kind=kind), rows=256)
 
 
-class Surroundings:
-    """Bytes around anchors, as two sets of suffixes that start at the anchor.
+class Suffixes:
+    """Suffixes of a fixed width that are compared inside their groups.
 
-    One runs to the right.  The other runs to the left, so it is stored reversed.
+    Rows must come with groups together.
     """
 
-    def __init__(self, group: np.ndarray, left: list[bytes], right: list[bytes]):
-        self.group, self.size = group, len(group)
-        self.right, self.right_len = self._matrix(right, RIGHT)
-        self.left, self.left_len = self._matrix([x[::-1] for x in left], LEFT)
-        self.right_sums, self.left_sums = prefix_hashes(self.right), prefix_hashes(self.left)
-
-    @staticmethod
-    def _matrix(rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, group: np.ndarray, rows: list[bytes], width: int):
+        self.group, self.size, self.width = group, len(group), width
         data = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in rows), np.uint8)
-        return data.reshape(len(rows), width), np.array([len(x) for x in rows], np.int64)
+        self.data = data.reshape(len(rows), width)
+        self.lengths = np.array([len(x) for x in rows], np.int64)
+        self.sums = prefix_hashes(self.data)
 
-    @staticmethod
-    def _extension(sums: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def extend(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Common extension of rows x and y, by binary search for the longest equal prefix."""
-        low, high = np.zeros(len(x), np.int64), np.minimum(size[x], size[y])
-        for _ in range(int(sums.shape[1]).bit_length()):
+        low, high = np.zeros(len(x), np.int64), np.minimum(self.lengths[x], self.lengths[y])
+        for _ in range(self.width.bit_length()):
             middle = (low + high + 1) // 2
-            equal = sums[x, middle] == sums[y, middle]
+            equal = self.sums[x, middle] == self.sums[y, middle]
             low, high = np.where(equal, middle, low), np.where(equal, high, middle - 1)
             high = np.maximum(low, high)
         return low
 
-    def extend_right(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return self._extension(self.right_sums, self.right_len, x, y)
-
-    def extend_left(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return self._extension(self.left_sums, self.left_len, x, y)
-
     def before(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Whether suffix x sorts before suffix y; the shorter of two prefixes first."""
-        same = self.extend_right(x, y)
-        at = np.minimum(same, RIGHT - 1)
-        ends_x, ends_y = same >= self.right_len[x], same >= self.right_len[y]
-        less = np.where(ends_x | ends_y, ends_x & ~ends_y, self.right[x, at] < self.right[y, at])
-        tie = ends_x & ends_y
-        return (self.group[x] < self.group[y]) | ((self.group[x] == self.group[y]) & (less | (tie & (x < y))))
+        same = self.extend(x, y)
+        at = np.minimum(same, self.width - 1)
+        ends_x, ends_y = same >= self.lengths[x], same >= self.lengths[y]
+        less = np.where(ends_x | ends_y, ends_x & ~ends_y, self.data[x, at] < self.data[y, at])
+        return less | (ends_x & ends_y & (x < y))
 
     def sorted(self) -> np.ndarray:
-        """Suffix order inside each group.  Rows must come with groups together.
+        """Suffix order inside each group.
 
         Bottom-up mergesort: both halves of every pair of runs are placed at once, each
         suffix by binary search for its rank in the other half.
         """
         order, run = np.arange(self.size), 1
         longest = int(np.bincount(self.group).max()) if self.size else 0
-        # Runs lie inside groups: positions count from the start of the group.
+        place = np.arange(self.size)
         starts = np.searchsorted(self.group, self.group)
         stops = np.searchsorted(self.group, self.group, side="right")
         while run < longest:
-            place = np.arange(self.size)
             offset = place - starts
             head = starts + offset // (2 * run) * (2 * run)
             second = offset % (2 * run) >= run
             other_from = np.where(second, head, np.minimum(head + run, stops))
             other_to = np.where(second, np.minimum(head + run, stops), np.minimum(head + 2 * run, stops))
             low, high = other_from.copy(), other_to.copy()
-            for _ in range(run.bit_length() + 1):
+            while True:
                 open_ = np.flatnonzero(low < high)
                 if not len(open_):
                     break
@@ -224,33 +211,48 @@ class Surroundings:
             order, run = merged, 2 * run
         return order
 
-    def verified(self, x, y, left, right) -> tuple[np.ndarray, np.ndarray]:
-        """The extensions as their bytes confirm them; a hash collision is cut short."""
+    def neighbours(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Suffix order, extension shared with the one before in it, and per row the
+        longest extension shared with any other of its group."""
+        order = self.sorted()
+        near = np.zeros(self.size + 1, np.int64)
+        same = np.flatnonzero(self.group[order[1:]] == self.group[order[:-1]]) + 1
+        near[same] = self.extend(order[same], order[same - 1])
+        longest = np.empty(self.size, np.int64)
+        longest[order] = np.maximum(near[:-1], near[1:])
+        return order, near, longest
 
-        def confirmed(data, size):
-            differ = data[x] != data[y]
-            first = np.where(differ.any(axis=1), differ.argmax(axis=1), data.shape[1])
-            return np.minimum(size, first)
+    def confirmed(self, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The extension as its bytes confirm it; a hash collision is cut short."""
+        differ = self.data[x] != self.data[y]
+        first = np.where(differ.any(axis=1), differ.argmax(axis=1), self.width)
+        return np.minimum(size, first)
 
-        return confirmed(self.left, left), confirmed(self.right, right)
+
+class Surroundings:
+    """Bytes around anchors: suffixes to the right, and to the left, read backwards."""
+
+    def __init__(self, group: np.ndarray, left: list[bytes], right: list[bytes]):
+        self.group, self.size = group, len(group)
+        self.right = Suffixes(group, right, RIGHT)
+        self.left = Suffixes(group, [x[::-1] for x in left], LEFT)
 
 
 def repeats(around: Surroundings) -> tuple[np.ndarray, np.ndarray]:
     """Bytes to the left and right of each anchor that windows shared with others cover.
 
-    Suffix order puts the longest right extensions next to each other.  Walking away
-    from a suffix, the right extension only shrinks, so the walk ends when nothing
-    more can be won on the left, or no window fits.
+    Neighbours in suffix order share the longest extensions.  Where the longest on the
+    left and on the right together are too short for a window there is none.  Else,
+    walking away from a suffix, the right extension only shrinks, so the walk ends when
+    the left one is as long as any, or when no window fits.
     """
     size = around.size
+    left, right = around.left, around.right
     best_left, best_right = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    order = around.sorted()
+    _, _, most = left.neighbours()
+    order, near, _ = right.neighbours()
     rank = np.empty(size, np.int64)
     rank[order] = np.arange(size)
-    near = np.zeros(size + 1, np.int64)  # extension shared with the one before
-    same = around.group[order[1:]] == around.group[order[:-1]]
-    near[1:size] = np.where(same, around.extend_right(order[1:], order[:-1]), 0)
-    most = np.minimum(around.left_len, LEFT)
     late = np.zeros(size, bool)
     for side in (-1, 1):
         active = np.arange(size)
@@ -267,10 +269,11 @@ def repeats(around: Surroundings) -> tuple[np.ndarray, np.ndarray]:
             if not len(active):
                 break
             other = order[at]
-            left = around.extend_left(active, other)
-            fits = left + shared[active] >= MATCH
+            found = left.extend(active, other)
+            fits = found + shared[active] >= MATCH
             x, y = active[fits], other[fits]
-            sure_left, sure_right = around.verified(x, y, left[fits], shared[x])
+            sure_left = left.confirmed(x, y, found[fits])
+            sure_right = right.confirmed(x, y, shared[x])
             sure = sure_left + sure_right >= MATCH
             x, sure_left, sure_right = x[sure], sure_left[sure], sure_right[sure]
             side_left[x] = np.maximum(side_left[x], sure_left)
@@ -280,15 +283,15 @@ def repeats(around: Surroundings) -> tuple[np.ndarray, np.ndarray]:
     # Those still walking: count the windows of their groups, column by column.
     if late.any():
         rows = np.flatnonzero(np.isin(around.group, np.unique(around.group[late])))
-        for left in range(LEFT + 1):
-            have = rows[(around.left_len[rows] >= left) & (around.right_len[rows] >= MATCH - left)]
-            ids = window_digests(around, have, left)
-            _, index, counts = np.unique(
-                np.rec.fromarrays([around.group[have], ids]), return_inverse=True, return_counts=True
-            )
-            twice = have[counts[index.ravel()] > 1]
-            best_left[twice] = np.maximum(best_left[twice], left)
-            best_right[twice] = np.maximum(best_right[twice], MATCH - left)
+        for before in range(LEFT + 1):
+            have = rows[(most[rows] >= before) & (right.lengths[rows] >= MATCH - before)]
+            ids = window_digests(around, have, before)
+            by = np.lexsort((ids, around.group[have]))
+            have, ids = have[by], ids[by]
+            equal = (ids[1:] == ids[:-1]) & (around.group[have[1:]] == around.group[have[:-1]])
+            twice = have[np.concatenate([equal, [False]]) | np.concatenate([[False], equal])] if len(have) else have
+            best_left[twice] = np.maximum(best_left[twice], before)
+            best_right[twice] = np.maximum(best_right[twice], MATCH - before)
     return best_left, best_right
 
 
@@ -297,7 +300,7 @@ def window_digests(around: Surroundings, rows: np.ndarray, left: int) -> np.ndar
 
     Both parts have a fixed length, so their prefix hashes stand for the bytes.
     """
-    return _mixed(around.left_sums[rows, left]) + around.right_sums[rows, MATCH - left]
+    return _mixed(around.left.sums[rows, left]) + around.right.sums[rows, MATCH - left]
 
 
 _SIDES = "anchor long, c1 long, c2 long, left binary, right binary"
@@ -363,7 +366,7 @@ def _sort_groups(sides: DataFrame) -> DataFrame:
         if held is not None and held.num_rows:
             yield solve(held)
 
-    return sides.mapInArrow(run, _FOUND)
+    return sides.mapInArrow(tidy(run), _FOUND)
 
 
 def _count_windows(sides: DataFrame) -> DataFrame:
@@ -421,7 +424,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
         .write.parquet(f"{path}/shared")
     )
     shared = spark.read.parquet(f"{path}/shared")
-    again = found.join(broadcast_if_small(shared, 32), "anchor")
+    again = found.join(shared, "anchor")
     again.write.parquet(f"{path}/again")
     again = spark.read.parquet(f"{path}/again")
 
@@ -440,18 +443,18 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
         .write.parquet(f"{path}/wanted")
     )
     wanted = spark.read.parquet(f"{path}/wanted")
-    wanted = F.broadcast(wanted) if fits(kinds, 64) else wanted
     # Of the copies of a text only the one with the chosen id gives bytes.
     one = (F.col("text_key") == F.col("wanted_key")) & F.col("id").eqNullSafe(F.col("wanted_id"))
-    sides = cut_sides(texts.join(wanted, one).select("text", "wanted"))
+    cut_sides(texts.join(wanted, one).select("text", "wanted")).write.parquet(f"{path}/sides")
+    sides = spark.read.parquet(f"{path}/sides")
     crowded = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows)
     crowded.select(F.col("anchor").alias("big")).write.parquet(f"{path}/crowded")
-    crowded = broadcast_if_small(spark.read.parquet(f"{path}/crowded"), 16)
+    crowded = spark.read.parquet(f"{path}/crowded")
     few = sides.join(crowded, F.col("anchor") == F.col("big"), "left_anti")
     together = few.repartition("anchor").sortWithinPartitions("anchor", "c1", "c2")
     _sort_groups(together).write.parquet(f"{path}/sorted")
     covers = spark.read.parquet(f"{path}/sorted")
-    if not spark.read.parquet(f"{path}/crowded").isEmpty():
+    if not crowded.isEmpty():
         many = sides.join(crowded, F.col("anchor") == F.col("big"), "left_semi")
         many.dropDuplicates(["anchor", "c1", "c2"]).write.parquet(f"{path}/many")
         covers = covers.unionByName(_count_windows(spark.read.parquet(f"{path}/many")))
@@ -471,7 +474,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
         .filter("covers_right > 0")
     )
     partial.write.parquet(f"{path}/partial")
-    partial = broadcast_if_small(spark.read.parquet(f"{path}/partial"), 48)
+    partial = spark.read.parquet(f"{path}/partial")
     spans = again.filter("NOT mixed").select("text_key", "pos", whole_left, whole_right).unionByName(
         again.filter("mixed").join(partial, ["anchor", "c1", "c2"]).select("text_key", "pos", "covers_left", "covers_right")
     )
@@ -509,8 +512,6 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP_R
     path = scratch_dir(spark, "repeat-spans")
     repeated_spans(docs, key, group_rows).write.parquet(path)
     spans = spark.read.parquet(path)
-    total = spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0]
-    spans = F.broadcast(spans) if total * 32 <= 48 << 20 else spans
     rows = docs.select(F.col(key).alias("key"), text_key(text_of()).alias("text_key"), text_of().alias("text"))
     joined = rows.join(spans, "text_key", "left").select("key", "text", "spans")
 
