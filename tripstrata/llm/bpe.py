@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import re
 import sys
 import unicodedata
 from array import array
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -27,10 +29,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import map_batches, text_of
+from tripstrata.llm.common import importable_in_tasks, map_batches, slices, text_of, tidy
 
-# A worker remembers this many resolved pre-tokens; then it starts over.
-MEMO_ENTRIES = 600_000
+# A task remembers this many resolved pre-tokens; then it starts over.
+MEMO_ENTRIES = 300_000
 # Pre-tokens longer than this are not remembered.
 MEMO_BYTES = 64
 
@@ -195,7 +197,7 @@ class Encoder(dict):
 
     def __init__(self, items: list[tuple[bytes, int]], pattern: str):
         super().__init__()
-        self.items_, self.whole, self.ranks = items, PerfectHash(items), dict(items)
+        self.whole, self.ranks = PerfectHash(items), dict(items)
         self.split = Splitter(pattern)
 
     def resolve(self, piece: bytes) -> bytes:
@@ -227,22 +229,21 @@ class Decoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _encoder(key: tuple, vocabulary) -> Encoder:
     return Encoder(vocabulary.value, key[1])
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _decoder(key: tuple, vocabulary) -> Decoder:
     return Decoder(vocabulary.value)
 
 
 class _Shared:
-    """A broadcast vocabulary that caches compare by identity of its broadcast."""
+    """A broadcast vocabulary that the caches of workers know by its content."""
 
-    def __init__(self, broadcast):
-        self.broadcast = broadcast
-        self.id = broadcast._jbroadcast.id()
+    def __init__(self, broadcast, digest: str):
+        self.broadcast, self.id = broadcast, digest
 
     def __hash__(self):
         return hash(self.id)
@@ -250,9 +251,6 @@ class _Shared:
     def __eq__(self, other):
         return self.id == other.id
 
-    def __getstate__(self):
-        return {"broadcast": self.broadcast, "id": self.id}
-
     @property
     def value(self):
         return self.broadcast.value
@@ -260,7 +258,8 @@ class _Shared:
 
 def share_vocabulary(spark: SparkSession, path: str) -> _Shared:
     """Read a rank file on the driver and hand it to the tasks."""
-    return _Shared(spark.sparkContext.broadcast(read_ranks(path)))
+    ranks = read_ranks(path)
+    return _Shared(spark.sparkContext.broadcast(ranks), hashlib.sha256(repr(ranks).encode()).hexdigest())
 
 
 def encode(docs: DataFrame, vocabulary: _Shared, pattern: str, key: str = "doc_id") -> DataFrame:
@@ -271,15 +270,20 @@ def encode(docs: DataFrame, vocabulary: _Shared, pattern: str, key: str = "doc_i
     """
     kind = docs.schema[key].dataType.simpleString()
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    importable_in_tasks(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder((vocabulary.id, pattern), vocabulary)
-        ids = [encoder.encode(text) for text in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [batch.column("key"), pa.array(ids, pa.binary())], names=["key", "ids"]
-        )
+        for batch in batches:
+            for part in slices(batch):
+                ids = [encoder.encode(text) for text in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key"), pa.array(ids, pa.binary())], names=["key", "ids"]
+                )
+        encoder.clear()  # workers outlive their tasks
 
     rows = docs.select(F.col(key).alias("key"), text_of().alias("text"))
-    return map_batches(rows, run, f"key {kind}, ids binary").withColumnRenamed("key", key)
+    return rows.mapInArrow(tidy(run), f"key {kind}, ids binary").withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, vocabulary: _Shared, ids: str = "ids", into: str = "decoded") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -59,6 +62,22 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def tidy(run: Callable) -> Callable:
+    """The same map over batches, after which the worker gives its free memory back.
+
+    Python workers outlive their tasks and keep what they once allocated.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def map_batches(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch],
@@ -74,7 +93,7 @@ def map_batches(
             for part in slices(batch, rows):
                 yield function(part)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def rows_without(docs: DataFrame, gone: DataFrame, match: Callable[[Column], Column]) -> DataFrame:

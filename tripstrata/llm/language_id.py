@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import importable_in_tasks, map_batches, slices, text_of
+from tripstrata.llm.common import importable_in_tasks, map_batches, slices, text_of, tidy
 from tripstrata.sources.scratch import scratch_dir
 
 CELLS = 1 << 15
@@ -91,7 +91,7 @@ def train(docs: DataFrame, language: str = "lang") -> tuple[list[str], np.ndarra
         return pa.table({"lang": table.column("lang").slice(0, 1), "cells": pa.array([total.tobytes()], pa.binary())})
 
     schema = "lang string, cells binary"
-    summed = labelled.mapInArrow(count, schema).groupBy("lang").applyInArrow(add, schema)
+    summed = labelled.mapInArrow(tidy(count), schema).groupBy("lang").applyInArrow(add, schema)
     counts = np.zeros((len(languages), CELLS))
     for row in summed.collect():  # one row of fixed size for each language
         counts[languages.index(row.lang)] = np.frombuffer(row.cells, np.int64)

@@ -38,6 +38,7 @@ from tripstrata.llm.common import (
     rows_without,
     slices,
     text_of,
+    tidy,
 )
 from tripstrata.llm.components import connected_components
 from tripstrata.llm.decontaminate import _WORD_BYTES
@@ -128,7 +129,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
         return pa.table({"chunk": table.column("chunk").slice(0, 1), "cells": pa.array([total.tobytes()], pa.binary())})
 
     schema = "chunk int, cells binary"
-    summed = texts.select("text").mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema)
+    summed = texts.select("text").mapInArrow(tidy(count), schema).groupBy("chunk").applyInArrow(add, schema)
     out = np.zeros((CHUNKS, CELLS // CHUNKS), np.int64)
     for row in summed.collect():  # CHUNKS rows of fixed size
         out[row.chunk] = np.frombuffer(row.cells, np.int64)
@@ -310,7 +311,7 @@ def _verify(members: DataFrame) -> DataFrame:
         if len(rows) > 1:
             yield solved(rows)
 
-    return members.mapInArrow(run, "a long, b long")
+    return members.mapInArrow(tidy(run), "a long, b long")
 
 
 def similar_texts(texts: DataFrame) -> DataFrame:
