@@ -69,6 +69,18 @@ def test_quality_classifier_tells_good_from_bad(spark):
     assert bad.count(False) >= 0.7 * len(bad) and good.count(True) >= 0.98 * len(good)
 
 
+def test_quality_limits_are_the_stated_quantile(spark):
+    """The limit of a long text is the quantile of the trusted ones of its language, and no more."""
+    larger = SF_DIR.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{larger}/labels.parquet").select("doc_id", "quality")
+    rows = kneser_ney.classify(spark.read.parquet(f"{larger}/documents.parquet"), labels).collect()
+    bad = {r.doc_id for r in labels.collect() if not r.quality}
+    good = {r.doc_id for r in labels.collect()} - bad
+    own = sorted(r.perplexity for r in rows if r.lang == "en" and r.doc_id in good)
+    limit = min(r.threshold for r in rows if r.lang == "en")
+    assert limit == pytest.approx(own[math.ceil(kneser_ney.HIGH * len(own)) - 1], rel=1e-9)
+
+
 def test_benchmark_windows(spark, docs, items):
     owners = brute.windows(items)
     ours = rows_by_id(query(spark, "op4_"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
