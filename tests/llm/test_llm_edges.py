@@ -296,6 +296,24 @@ def test_page_languages(spark):
     assert language_id.identify(pages, docs.limit(0)).filter("lang IS NOT NULL").isEmpty()
 
 
+def test_declared_language_anywhere_in_the_page(spark):
+    ahead = "<!-- <html lang=fr> " + "licence " * 1000 + "--><script>x = '<html lang=es>'</script>" + " " * 5000
+    tags = {
+        "<html lang=de>": "de",
+        "<HTML class='a > b lang=fr' LANG = \"de-AT\">": "de",
+        "<html xml:lang='it'>": "it",
+        "<html title=it's lang='en'>": "en",
+        "<html data-lang=fr><p lang=es>": "",
+        "<htmlx lang=fr><html lang=pt>": "pt",
+        "<!--[if IE]><html lang=fr><![endif]--><!--[if gt IE 8]><!--><html lang=nl><!--<![endif]-->": "nl",
+        "<!--><html lang=sv>": "sv",
+    }
+    pages = spark.createDataFrame([(n, "", ahead + tag) for n, tag in enumerate(tags)], "page_id long, url string, html string")
+    docs = spark.createDataFrame([("en", "the house"), ("de", "das haus")], "lang string, text string")
+    found = {r.page_id: r.declared for r in language_id.identify(pages, docs).collect()}
+    assert [found[n] for n in range(len(tags))] == list(tags.values())
+
+
 def test_pipeline_stages_keep_columns(spark, docs, labels, benchmark, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     benchmark.filter("item_id <> 2").write.parquet(str(tmp_path / "benchmark.parquet"))

@@ -40,11 +40,25 @@ STRENGTH = 5.0  # pages that a level of the hierarchy is worth to the one below
 NOISE = 0.5  # added to every cell of a piece of evidence
 
 _DROPPED = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>|<[^>]*>")
-_DECLARED = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})")
+# Comments and code, which may hold tags that are none, and html tags.
+_CODE_OR_HTML = re.compile(
+    r"(?is)<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|noscript|template)(?=[\s/>]).*?(?:</\1\s*>|\Z)"
+    r"|<html(?=[\s/])(?P<attributes>(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*)"
+)
+_LANG = re.compile(r"(?is)(?<![\w:-])(?:xml:)?lang\s*=\s*[\"']?\s*([a-z]{2,3})|=\s*(?:\"[^\"]*\"|'[^']*')")
 _ADDRESS = re.compile(r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)[^/?#]*(/[^?#]*)?")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
+def declared_language(page: str) -> str:
+    """Language of the first html tag that declares one, wherever it stands, else an empty string."""
+    for tag in _CODE_OR_HTML.finditer(page):
+        for found in _LANG.finditer(tag["attributes"] or ""):
+            if found[1]:
+                return found[1].lower()
+    return ""
+
+
 def visible_text(page: str) -> str:
     return html.unescape(_DROPPED.sub(" ", page))
 
@@ -128,10 +142,9 @@ def read_pages(pages: DataFrame, model: _Model, key: str, url: str, page: str) -
         logs = model.broadcast.value
         rows = []
         for address, body in zip(batch.column("url").to_pylist(), batch.column("body").to_pylist(), strict=True):
-            declared = _DECLARED.search(body[:4096])
             logp = logs[:, trigram_cells(visible_text(body))].sum(axis=1, dtype=np.float64) * TEMPER
             share = np.exp(logp - logp.max()) if len(logp) else logp
-            rows.append((*address_parts(address), declared[1].lower() if declared else "", logp.tolist(), (share / share.sum()).tolist()))
+            rows.append((*address_parts(address), declared_language(body), logp.tolist(), (share / share.sum()).tolist()))
         columns = list(zip(*rows)) if rows else [()] * 7
         types = [*[pa.string()] * 5, pa.list_(pa.float64()), pa.list_(pa.float64())]
         return pa.RecordBatch.from_arrays(
