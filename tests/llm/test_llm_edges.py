@@ -218,6 +218,22 @@ def test_licenses(docs):
     assert licenses.scan_licenses(docs, templates={}).filter("n_licenses > 0").isEmpty()
 
 
+def test_license_runs_inside_longer_texts(spark):
+    code = "\n".join(f"def f{n}(x): return x + {n}" for n in range(40))
+    spaced = {
+        "apache-2.0-notice": licenses.TEMPLATES["apache-2.0-notice"].replace(" http", "\n\n    http").replace("2.0 Unless", "2.0\n\nUnless"),
+        "bsd-2-clause": licenses.TEMPLATES["bsd-2-clause"].replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. "),
+        "gpl-3.0-notice": "// " + licenses.TEMPLATES["gpl-3.0-notice"].replace(", or", ",\n// or"),
+        "mit-line": "Some words before it. Released under the MIT License. And words after it",
+    }
+    rows = list(enumerate(f"{code} {notice}\n{code}" for notice in spaced.values()))
+    rows += [(9, "of the software and the license of the " * 400), (10, code)]
+    found = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n, name in enumerate(spaced):
+        assert name in found[n].licenses.split(",") and found[n].best_dice == 1.0
+    assert found[9].n_licenses == found[10].n_licenses == 0
+
+
 @pytest.mark.parametrize("group_rows", [suffix_dedup.GROUP_ROWS, 1])
 def test_repeats(spark, docs, group_rows):
     tail = PROSE[:900]

@@ -11,6 +11,11 @@ have a Dice coefficient of 0.8 or more.  Two exact bounds prune first:
 
 Texts without any of those words, which is nearly all of them, yield no segments.
 
+A notice may also go over several paragraphs or stand inside longer ones.  So runs of
+consecutive words are compared as well, wherever they start and end.  The best run starts
+with a bigram of the template; a start is followed up when two thirds of the template
+may lie within the longest run that could match.
+
 DataFrame functions throughout.  Templates are fixed in the code, so the side that is
 broadcast has a known size.
 """
@@ -20,10 +25,10 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import text_of
+from tripstrata.llm.common import broadcast_if_small, text_of
 from tripstrata.sources.scratch import scratch_dir
 
 LEAST_DICE = 0.8
@@ -75,8 +80,12 @@ TEMPLATES: dict[str, str] = {
 }
 
 
+def template_words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
+
+
 def template_bigrams(text: str) -> list[str]:
-    words = re.findall(r"[^\W_]+", text.lower())
+    words = template_words(text)
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
@@ -108,6 +117,51 @@ def _bigrams(words: Column) -> Column:
     return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
+def _matching_runs(words: DataFrame, table: DataFrame, dice: float) -> DataFrame:
+    """``_row, template, score`` of the best run of words for each template that one matches.
+
+    ``words`` is a staged table of ``_row, _words``, the words of whole texts; ``table``
+    has the bigrams of the templates.
+    """
+    path = scratch_dir(words.sparkSession, "license-runs")
+    at = F.sequence(F.lit(1), F.size("_words") - 1)
+    pairs = F.transform(at, lambda i: F.concat_ws(" ", F.get("_words", i - 1), F.get("_words", i)))
+    places = words.filter(F.size("_words") > 1).select("_row", F.posexplode(pairs).alias("_at", "bigram"))
+    least = F.ceil(F.col("template_size") * (dice / (2 - dice)) - 1e-9)
+    (
+        places.join(F.broadcast(table), "bigram")
+        .groupBy("_row", "template", "template_size", "longest")
+        .agg(F.array_sort(F.collect_list("_at")).alias("_ats"), F.collect_set("bigram").alias("_shared"))
+        .filter(F.size("_shared") >= least)
+        .withColumn("_least", least.cast("int"))
+        .select(
+            "_row",
+            "template",
+            "template_size",
+            "longest",
+            F.explode(F.expr("filter(_ats, (p, i) -> get(_ats, i + _least - 1) - p < longest)")).alias("_start"),
+        )
+        .write.parquet(f"{path}/starts")
+    )
+    starts = words.sparkSession.read.parquet(f"{path}/starts")
+    rows = broadcast_if_small(starts.select("_row").distinct(), 64)
+    # Repeats in a run count once: those whose last place is before its start.
+    before = F.lag("_at").over(Window.partitionBy("_row", "bigram").orderBy("_at"))
+    known = places.join(rows, "_row", "left_semi").withColumn("_before", before)
+    steps = F.explode(F.sequence("_start", F.col("_start") + F.col("longest") - 1)).alias("_at")
+    own = F.broadcast(table.select("template", "bigram", F.lit(1).alias("_own")))
+    cells = (
+        starts.select("_row", "template", "template_size", "_start", steps)
+        .join(known, ["_row", "_at"])
+        .filter(F.col("_before").isNull() | (F.col("_before") < F.col("_start")))
+        .join(own, ["template", "bigram"], "left")
+    )
+    so_far = Window.partitionBy("_row", "template", "_start").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    score = 2.0 * F.count("_own").over(so_far) / (F.count(F.lit(1)).over(so_far) + F.col("template_size"))
+    scored = cells.select("_row", "template", score.alias("score")).groupBy("_row", "template").agg(F.max("score").alias("score"))
+    return scored.filter(F.col("score") >= dice)
+
+
 def scan_licenses(
     docs: DataFrame,
     key: str = "doc_id",
@@ -129,9 +183,11 @@ def scan_licenses(
         return docs.select(key, nothing, F.lit("").alias("licenses"), F.lit(None).cast("double").alias("best_dice"))
     sizes = [len(found) for found in grams.values()]
     least, most = min(sizes) * dice / (2 - dice) - 1e-9, max(sizes) * (2 - dice) / dice + 1e-9
+    # Places of bigrams in the longest run that can match, where its repeats are those of the template.
+    longest = {name: int((len(template_words(templates[name])) - 1) * (2 - dice) / dice + 1e-9) for name in grams}
     table = spark.createDataFrame(
-        [(name, len(found), gram) for name, found in grams.items() for gram in found],
-        "template string, template_size int, bigram string",
+        [(name, len(found), longest[name], gram) for name, found in grams.items() for gram in found],
+        "template string, template_size int, longest int, bigram string",
     )
 
     path = scratch_dir(spark, "license-segments")
@@ -141,7 +197,12 @@ def scan_licenses(
     segments = F.when(hit, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
     (
         docs.select(F.col(key).alias("_key"), text_of().alias("_text"))
-        .select("_key", F.monotonically_increasing_id().alias("_row"), segments.alias("_segments"))
+        .select(
+            "_key",
+            F.monotonically_increasing_id().alias("_row"),
+            segments.alias("_segments"),
+            F.when(hit, F.col("_text")).alias("_whole"),
+        )
         .write.parquet(path)
     )
     staged = spark.read.parquet(path)
@@ -160,12 +221,18 @@ def scan_licenses(
         .select("_row", "_at", F.size("_bigrams").alias("_size"), F.explode("_bigrams").alias("bigram"))
     )
     score = 2.0 * F.count(F.lit(1)) / (F.first("_size") + F.first("template_size"))
-    matches = (
+    segment_matches = (
         split.join(F.broadcast(table), "bigram")
         .filter(F.col("_size").between(F.col("template_size") * dice / (2 - dice) - 1e-9, F.col("template_size") * (2 - dice) / dice + 1e-9))
         .groupBy("_row", "_at", "template")
         .agg(score.alias("score"))
         .filter(F.col("score") >= dice)
+        .select("_row", "template", "score")
+    )
+    staged.filter(F.size("_segments") > 0).select("_row", _words(F.col("_whole")).alias("_words")).write.parquet(f"{path}-whole")
+    runs = _matching_runs(spark.read.parquet(f"{path}-whole"), table, dice)
+    matches = (
+        segment_matches.unionByName(runs)
         .groupBy("_row")
         .agg(F.array_sort(F.collect_set("template")).alias("found"), F.max("score").alias("best_dice"))
     )
