@@ -234,6 +234,33 @@ def test_license_runs_inside_longer_texts(spark):
     assert found[9].n_licenses == found[10].n_licenses == 0
 
 
+def test_license_lines_of_the_documents_and_common_families(spark):
+    # The license lines that stand in the table, by plain reading of it.
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0-line",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0-line",
+        "Released under the MIT License.": "mit-line",
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0-line",
+    }
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = licenses.scan_licenses(table).join(table.select("doc_id", "text"), "doc_id").collect()
+    hits = {r.doc_id: ",".join(sorted(name for line, name in lines.items() if line in (r.text or "").split("\n"))) for r in found}
+    assert set(lines.values()) <= {name for names in hits.values() for name in names.split(",")}
+    assert {r.doc_id: r.licenses for r in found} == hits
+    others = {
+        "Text and images are CC BY-SA 4.0 unless stated.": "cc-by-sa-4.0-short",
+        "This is CC BY 4.0.": "cc-by-4.0-short",
+        "Under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 licence": "cc-by-nc-sa-4.0-name",
+        "under the terms of the GNU Lesser General Public License as published": "lgpl-name",
+        "the GNU Affero General Public License, version 3": "agpl-name",
+        "It comes under the BSD 3-Clause License.": "bsd-3-clause-name",
+        licenses.TEMPLATES["unlicense"]: "unlicense",
+    }
+    texts = spark.createDataFrame(list(enumerate(others)), "doc_id long, text string")
+    found = {r.doc_id: r.licenses for r in licenses.scan_licenses(texts).collect()}
+    assert [found[n] for n in range(len(others))] == list(others.values())
+
+
 @pytest.mark.parametrize("group_rows", [suffix_dedup.GROUP_ROWS, 1])
 def test_repeats(spark, docs, group_rows):
     tail = PROSE[:900]

@@ -32,11 +32,14 @@ from tripstrata.llm.common import broadcast_if_small, text_of
 from tripstrata.sources.scratch import scratch_dir
 
 LEAST_DICE = 0.8
+COMMON = {"by", "nd", "under"}  # in many texts, so they prune little
 NOT_WORD = r"[^\p{L}\p{N}]+"
 PARAGRAPH = r"\n[ \t\r]*\n"
 
 # Wording of well-known licence notices.
 TEMPLATES: dict[str, str] = {
+    "agpl-name": "GNU Affero General Public License",
+    "agpl-3.0-short": "Licensed under AGPL-3.0.",
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-notice": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
@@ -53,7 +56,29 @@ TEMPLATES: dict[str, str] = {
         "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
         "documentation and/or other materials provided with the distribution."
     ),
+    "bsd-3-clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."
+    ),
+    "bsd-3-clause-name": "BSD 3-Clause License",
+    "bsd-disclaimer": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
     "cc-by-4.0-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-4.0-short": "CC BY 4.0",
+    "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
+    "cc-by-nc-4.0-name": "Creative Commons Attribution-NonCommercial 4.0",
+    "cc-by-nc-nd-4.0-name": "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0",
+    "cc-by-nc-nd-4.0-short": "CC BY-NC-ND 4.0",
+    "cc-by-nc-sa-4.0-name": "Creative Commons Attribution-NonCommercial-ShareAlike 4.0",
+    "cc-by-nc-sa-4.0-short": "CC BY-NC-SA 4.0",
+    "cc-by-nd-4.0-name": "Creative Commons Attribution-NoDerivatives 4.0",
+    "cc-by-nd-4.0-short": "CC BY-ND 4.0",
+    "cc-by-sa-4.0-name": "Creative Commons Attribution-ShareAlike 4.0",
+    "cc-by-sa-4.0-short": "CC BY-SA 4.0",
+    "cc0-1.0-name": "CC0 1.0 Universal",
     "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-3.0-notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
@@ -64,6 +89,10 @@ TEMPLATES: dict[str, str] = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
     ),
+    "isc-name": "ISC License",
+    "lgpl-name": "GNU Lesser General Public License",
+    "lgpl-2.1-short": "Licensed under LGPL-2.1.",
+    "lgpl-3.0-short": "Licensed under LGPL-3.0.",
     "mit-line": "Released under the MIT License.",
     "mit-notice": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -77,6 +106,11 @@ TEMPLATES: dict[str, str] = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
         "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."
+    ),
 }
 
 
@@ -97,7 +131,7 @@ def needed_words(bigrams: list[str], dice: float) -> list[str]:
     """
     spare = len(bigrams) * (1 - dice / (2 - dice))
     chosen, touched = [], set()
-    for word in sorted({w for b in bigrams for w in b.split()}, key=lambda w: (-len(w), w)):
+    for word in sorted({w for b in bigrams for w in b.split()}, key=lambda w: (w in COMMON, -len(w), w)):
         if len(touched) > spare + 1e-9:
             break
         more = {b for b in bigrams if word in b.split()}
@@ -201,7 +235,6 @@ def scan_licenses(
             "_key",
             F.monotonically_increasing_id().alias("_row"),
             segments.alias("_segments"),
-            F.when(hit, F.col("_text")).alias("_whole"),
         )
         .write.parquet(path)
     )
@@ -209,8 +242,9 @@ def scan_licenses(
     # Words are staged too: a filter on what is made of them would move below them and
     # split the segment anew for every word.
     (
-        staged.select("_row", F.posexplode("_segments").alias("_at", "_segment"))
-        .select("_row", "_at", _words(F.col("_segment")).alias("_words"))
+        staged.select("_row", F.size("_segments").alias("_n"), F.posexplode("_segments").alias("_at", "_segment"))
+        # The whole text is the last segment.
+        .select("_row", "_at", (F.col("_at") == F.col("_n") - 1).alias("_whole"), _words(F.col("_segment")).alias("_words"))
         .filter((F.size("_words") - 1 >= least) & F.arrays_overlap("_words", wanted))
         .write.parquet(f"{path}-words")
     )
@@ -229,8 +263,7 @@ def scan_licenses(
         .filter(F.col("score") >= dice)
         .select("_row", "template", "score")
     )
-    staged.filter(F.size("_segments") > 0).select("_row", _words(F.col("_whole")).alias("_words")).write.parquet(f"{path}-whole")
-    runs = _matching_runs(spark.read.parquet(f"{path}-whole"), table, dice)
+    runs = _matching_runs(spark.read.parquet(f"{path}-words").filter("_whole").select("_row", "_words"), table, dice)
     matches = (
         segment_matches.unionByName(runs)
         .groupBy("_row")
