@@ -15,6 +15,9 @@ from tripstrata.llm import (
     language_id,
     licenses,
     near_dedup,
+    periodic_runs,
+    pii,
+    prefix_trie,
     quality_rules,
     secret_scan,
     suffix_dedup,
@@ -77,6 +80,41 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def periodic_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rebuilt = docs.select("doc_id", periodic_runs.repeated_tails("text", "doc_id").alias("text"))
+    best = periodic_runs.strongest("runs")
+    start, length, period = (best.getField(name) for name in ("start", "length", "period"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r.getField(f).cast("string") for f in ("start", "length", "period")]), F.lit("\n")))
+    return periodic_runs.find_runs(rebuilt).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan_pii(_table(spark, sf_dir, "documents"))
+    base = pii.of_kinds("spans", *pii.BASE)
+    return found.select(
+        "doc_id",
+        *[F.size(pii.of_kinds("spans", kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.number_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.build_trie(prefix_trie.share_heads(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_frequency,
     "op2_near_dedup": near_duplicates,
@@ -88,4 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": license_templates,
     "op9_suffix_dedup": repeated_passages,
     "op10_byte_bpe": byte_bpe,
+    "op11_periodic_runs": periodic_word_runs,
+    "op12_pii": personal_data,
+    "op13_conversation_trie": conversation_trie,
 }

@@ -154,9 +154,100 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN bases USING (doc_id) LEFT JOIN spans USING (doc_id)"""
 
 
+def crc32_sql(text: str) -> str:
+    """The checksum of an ASCII string, bit by bit."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(acc, x) WHEN acc % 2 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda acc, x: {step}), 4294967295::BIGINT)"
+
+
+PERIODIC_RUNS = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {crc32_sql("CAST(doc_id AS VARCHAR)")} AS h
+  FROM documents
+),
+tails AS (
+  SELECT doc_id, w, len(w) AS n, coalesce(h % 10 = 0, false) AND len(w) > 0 AS tail, h // 10 AS g, (h // 10) % nullif(len(w), 0) AS a
+  FROM docs
+),
+texts AS (
+  SELECT doc_id, n, CASE WHEN tail THEN list_transform(range(n), lambda i:
+    CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) ELSE w END AS w
+  FROM tails
+),
+words AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM texts),
+pairs AS (
+  SELECT doc_id, x.i AS i, y.i - x.i AS q FROM words x JOIN words y USING (doc_id, word)
+  WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n
+),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length
+),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY doc_id
+),
+best AS (
+  SELECT r.* FROM runs r WHERE NOT EXISTS (
+    SELECT 1 FROM runs o WHERE o.doc_id = r.doc_id AND (
+      o.length * r.period > r.length * o.period
+      OR o.length * r.period = r.length * o.period AND (o.start, o.period) < (r.start, r.period)))
+),
+gone AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, unnest(range(start + period, start + length)) AS i FROM runs)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256, n AS n_words
+FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+# A node is the list of its turns; subtrees come from comparing lists.
+CONVERSATION_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+  SELECT conv_id, count(*) AS own, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 9 AS h, conv_id - (conv_id % 5 + 5) % 5 AS base
+  FROM turns GROUP BY conv_id
+),
+rebuilt AS (
+  SELECT c.conv_id, t.pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(b.own, 0)), role, text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h LEFT JOIN convs b ON b.conv_id = c.base
+),
+paths AS (
+  SELECT conv_id, coalesce(path, []) AS path FROM convs LEFT JOIN (
+    SELECT conv_id, list(length(role) || ':' || role || text ORDER BY pos) AS path FROM rebuilt GROUP BY conv_id) USING (conv_id)
+),
+bytes AS (SELECT length(role) || ':' || role || text AS last, any_value(strlen(text)) AS n FROM rebuilt GROUP BY 1),
+members AS (SELECT conv_id, d AS depth, path[1 : d] AS node FROM (SELECT conv_id, path, unnest(range(len(path) + 1)) AS d FROM paths)),
+nodes AS (SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs FROM members GROUP BY depth, node),
+weighed AS (
+  SELECT depth, node, nodes.conv_id, n_convs, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * bytes.n END AS weight,
+         (SELECT count(*) FROM nodes c WHERE c.depth = nodes.depth + 1 AND c.node[1 : nodes.depth] = nodes.node) AS n_children
+  FROM nodes LEFT JOIN bytes ON bytes.last = nodes.node[-1]
+),
+subtrees AS (
+  SELECT a.depth, a.node, sum(b.weight)::BIGINT AS saved_tokens, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves
+  FROM weighed a JOIN weighed b ON b.depth >= a.depth AND b.node[1 : a.depth] = a.node GROUP BY a.depth, a.node
+),
+ends AS (SELECT path AS node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM paths GROUP BY path)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM weighed w JOIN subtrees s ON s.depth = w.depth AND s.node = w.node
+LEFT JOIN nodes p ON p.depth = w.depth - 1 AND p.node = w.node[1 : w.depth - 1]
+LEFT JOIN ends e ON e.node = w.node"""
+
+
 ORACLE: dict[str, str] = {
     "op1_secret_scan": secrets_sql(),
     "op4_benchmark_decontamination": BENCHMARK_WINDOWS,
     "op7_quality_rules": quality_rules_sql(),
     "op8_license_scan": licenses.oracle_sql(),
+    "op11_periodic_runs": PERIODIC_RUNS,
+    "op13_conversation_trie": CONVERSATION_TRIE,
 }
