@@ -13,7 +13,6 @@ repeats its tasks.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 import re
 import sys
@@ -29,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import importable_in_tasks, map_batches, slices, text_of, tidy
+from tripstrata.llm.common import held, importable_in_tasks, map_batches, slices, text_of, tidy
 
 # A task remembers this many resolved pre-tokens; then it starts over.
 MEMO_ENTRIES = 300_000
@@ -229,14 +228,9 @@ class Decoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
-@functools.lru_cache(maxsize=1)
-def _encoder(key: tuple, vocabulary) -> Encoder:
-    return Encoder(vocabulary.value, key[1])
-
-
-@functools.lru_cache(maxsize=1)
-def _decoder(key: tuple, vocabulary) -> Decoder:
-    return Decoder(vocabulary.value)
+def _tables(vocabulary, pattern: str) -> tuple[Encoder, Decoder]:
+    items = vocabulary.value
+    return held(("bpe", vocabulary.id, pattern), lambda: (Encoder(items, pattern), Decoder(items)))
 
 
 class _Shared:
@@ -273,7 +267,7 @@ def encode(docs: DataFrame, vocabulary: _Shared, pattern: str, key: str = "doc_i
     importable_in_tasks(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder((vocabulary.id, pattern), vocabulary)
+        encoder, _ = _tables(vocabulary, pattern)
         for batch in batches:
             for part in slices(batch):
                 ids = [encoder.encode(text) for text in part.column("text").to_pylist()]
@@ -292,7 +286,7 @@ def decode(encoded: DataFrame, vocabulary: _Shared, ids: str = "ids", into: str
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        decoder = _decoder((vocabulary.id,), vocabulary)
+        decoder = held(("decoder", vocabulary.id), lambda: Decoder(vocabulary.value))
         out = [decoder.decode(packed or b"") for packed in batch.column(ids).to_pylist()]
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, into]
@@ -304,12 +298,32 @@ def decode(encoded: DataFrame, vocabulary: _Shared, ids: str = "ids", into: str
 def encode_digests(
     docs: DataFrame, vocabulary: _Shared, pattern: str, key: str = "doc_id", keep_ids: bool = False
 ) -> DataFrame:
-    """Encode, decode, and give counts and digests; the ids themselves on demand."""
-    both = decode(encode(docs, vocabulary, pattern, key), vocabulary)
-    return both.select(
-        key,
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        *(["ids"] if keep_ids else []),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """Encode, decode, and give counts and digests; the ids themselves on demand.
+
+    One pass: the decoded bytes stay in the task that made the ids, and a core needs one
+    Python worker only.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+    importable_in_tasks(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _tables(vocabulary, pattern)
+        try:
+            for batch in batches:
+                for part in slices(batch, 256):
+                    ids = [encoder.encode(text) for text in part.column("text").to_pylist()]
+                    columns = {
+                        "key": part.column("key"),
+                        "n_tokens": pa.array([len(packed) // 4 for packed in ids], pa.int64()),
+                        **({"ids": pa.array(ids, pa.binary())} if keep_ids else {}),
+                        "ids_sha256": pa.array([hashlib.sha256(packed).hexdigest() for packed in ids]),
+                        "decoded_sha256": pa.array([hashlib.sha256(decoder.decode(packed)).hexdigest() for packed in ids]),
+                    }
+                    yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        finally:
+            encoder.clear()  # workers outlive their tasks
+
+    rows = docs.select(F.col(key).alias("key"), text_of().alias("text"))
+    ids = "ids binary, " if keep_ids else ""
+    schema = f"key {kind}, n_tokens long, {ids}ids_sha256 string, decoded_sha256 string"
+    return rows.mapInArrow(tidy(run), schema).withColumnRenamed("key", key)

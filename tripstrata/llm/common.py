@@ -62,6 +62,21 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable):
+    """A table that a Python worker keeps between tasks: the last one asked for, no other.
+
+    Workers outlive their tasks and serve stages of many operators, so what each of them
+    left behind would add up.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def tidy(run: Callable) -> Callable:
     """The same map over batches, after which the worker gives its free memory back.
 
@@ -69,11 +84,13 @@ def tidy(run: Callable) -> Callable:
     """
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
+        try:
+            yield from run(batches)
+        finally:  # also when nobody wants the rest
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
 
     return wrapped
 

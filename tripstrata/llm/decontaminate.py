@@ -16,7 +16,6 @@ stage, so a benchmark of any size is searched whole.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from tripstrata.llm.common import map_batches, text_of
+from tripstrata.llm.common import held, map_batches, text_of
 
 WINDOW = 13
 # Text of the benchmark that one broadcast block may hold.
@@ -130,9 +129,8 @@ def item_blocks(benchmark: DataFrame, item: str = "item_id", limit: int = BLOCK_
         yield block
 
 
-@functools.lru_cache(maxsize=4)
-def _matcher(name: str, size: int, shared) -> Matcher:
-    return Matcher(shared.items.value, size)
+def _matcher(shared, size: int) -> Matcher:
+    return held(("matcher", shared.name, size), lambda: Matcher(shared.items.value, size))
 
 
 class _Shared:
@@ -180,7 +178,7 @@ def find_windows(
         shared = _Shared(spark.sparkContext.broadcast(block))
 
         def search(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            matcher = _matcher(shared.name, window, shared)
+            matcher = _matcher(shared, window)
             hits, items = batch.column("hits").to_pylist(), batch.column("items").to_pylist()
             n_words, n_hit = [], []
             for row, text in enumerate(batch.column("text").to_pylist()):

@@ -12,7 +12,6 @@ task; just one of its copies finds a partner there.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 import unicodedata
@@ -22,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import map_batches, text_key, text_of
+from tripstrata.llm.common import held, map_batches, text_key, text_of
 
 LIMIT = 2048
 MEMO_ENTRIES = 600_000
@@ -89,9 +88,8 @@ class _Definition:
         return self.digest == other.digest
 
 
-@functools.lru_cache(maxsize=2)
 def _counter(definition: _Definition) -> Counter:
-    return Counter(definition.broadcast.value)
+    return held(("counter", definition.digest), lambda: Counter(definition.broadcast.value))
 
 
 def normal_digest(text: Column) -> Column:
