@@ -72,7 +72,15 @@ def license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_dedup.drop_repeats(_table(spark, sf_dir, "documents"))
-    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"),
+        (F.col("n_removed") > 0).alias("has_repeats"),
+    )
 
 
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
