@@ -4,8 +4,7 @@ import pytest
 from oracle_compare import connect, differences
 
 import __spark_entry__ as contract
-from tripstrata.catalog.oracle import ORACLE
-from tripstrata.catalog.queries import QUERIES
+from tripstrata.catalog import ORACLE, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 

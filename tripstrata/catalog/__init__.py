@@ -1 +1,6 @@
-"""The registered queries, their input views and their SQL counterparts."""
+"""Registered queries with their SQL counterparts."""
+
+from tripstrata.catalog import increments, oracle, queries
+
+QUERIES = {**queries.QUERIES, **increments.QUERIES}
+ORACLE = {**oracle.ORACLE, **increments.ORACLE}

@@ -158,6 +158,22 @@ trips AS (
 SELECT * FROM ({_pivot("trips", "pickup_datetime", ("yellow", "green"))})
 WHERE date <> DATE '2024-01-31'"""
 
+
+
+def daily_sql() -> str:
+    """The daily summary of all trips of the first feed."""
+    return _DAILY
+
+
+def events_sql() -> str:
+    """The events as ``trips``, to begin a query with."""
+    return _EVENTS_WITH
+
+
+def pivot_sql(source: str, time_column: str, names: tuple[str, ...]) -> str:
+    return _pivot(source, time_column, names)
+
+
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT * FROM orders",
     "scan_csv": "SELECT * FROM customer",

@@ -51,7 +51,7 @@ def read_layer(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     evolved: bool | None = None,
     since: str | date | None = None,
     partition: str = "ingest_date",
@@ -95,21 +95,21 @@ def recorded_schema(spark: SparkSession, path: str) -> StructType | None:
     return StructType(list(found.values())) if found else None
 
 
-def record_schema(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Store the schema beside the table, unless it is the one stored already."""
-    known = recorded_schema(spark, path)
+def record_schema(spark: SparkSession, path: str, schema: StructType, known: StructType | None) -> None:
+    """Store the schema beside the table, unless ``known``, what is stored there, has its columns."""
     if known is None or {f.name.lower() for f in schema} - {f.name.lower() for f in known}:
         plain = StructType([StructField(f.name, f.dataType) for f in schema])
-        line = spark.createDataFrame([(plain.json(),)], "value string").coalesce(1)
+        line = literal_table(spark, [(plain.json(),)], "value string")
         line.write.mode("append").text(f"{path}/{SCHEMA_FOLDER}")
 
 
-def stored_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> StructType | None:
+def stored_schema(spark: SparkSession, path: str, fmt: str = "parquet", recorded: bool = True) -> StructType | None:
     """Schema of the table at ``path``; None when there is no table yet.
 
     A table without a stored schema shows its footers, once: writers store it then.
+    ``recorded=False`` looks at the footers alone.
     """
-    known = recorded_schema(spark, path)
+    known = recorded_schema(spark, path) if recorded else None
     if known is not None:
         return known
     try:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
-from tripstrata.sources.readers import read_layer, record_schema, stored_schema
+from tripstrata.sources.readers import read_layer, record_schema, recorded_schema, stored_schema
 
 # On the trip tables zstd writes files as small as gzip in well under the time.
 # Pass codec="gzip" for readers that need it.
@@ -84,10 +84,11 @@ def append_evolving(
     to merge the footers of all files, which takes longer the more loads there are.
     """
     spark = df.sparkSession
+    known = None if mode == "overwrite" else recorded_schema(spark, path)
     if mode == "overwrite":
         before = None
     elif before is None:
-        before = stored_schema(spark, path, fmt)
+        before = known or stored_schema(spark, path, fmt, recorded=False)
     if before is not None:
         df = _as_stored(df, before)
         old, new = _types(before, partition_by), _types(df.schema, partition_by)
@@ -97,7 +98,7 @@ def append_evolving(
     _writer(df, mode, fmt, partition_by, codec, rebalance).option("mergeSchema", True).save(path)
     older = [f for f in before or () if f.name not in df.columns]
     schema = StructType([StructField(f.name, f.dataType) for f in [*df.schema, *older]])
-    record_schema(spark, path, schema)
+    record_schema(spark, path, schema, known)
     return schema
 
 
@@ -115,13 +116,16 @@ def append_fixed(
     Ask for ``rebalance`` when the rows span many partition values and come out of
     a shuffle: otherwise each task writes a file for each value.
     """
-    before = None if mode == "overwrite" else stored_schema(df.sparkSession, path, fmt)
+    known = None if mode == "overwrite" else recorded_schema(df.sparkSession, path)
+    before = known
+    if known is None and mode != "overwrite":
+        before = stored_schema(df.sparkSession, path, fmt, recorded=False)
     if before is not None:
         df = _as_stored(df, before)
         if _types(before, partition_by) != _types(df.schema, partition_by):
             raise TypeError(f"schema of {path} is {before.simpleString()}, got {df.schema.simpleString()}")
     _writer(df, mode, fmt, partition_by, codec, rebalance).save(path)
-    record_schema(df.sparkSession, path, df.schema)
+    record_schema(df.sparkSession, path, df.schema, known)
 
 
 def overwrite(
@@ -132,9 +136,22 @@ def overwrite(
     codec: str = CODEC,
     rebalance: bool = True,
 ) -> None:
-    """Replace the whole table, whatever the session says of partitions."""
+    """Replace the whole table, whatever the session says of partitions.
+
+    All its files then have one schema, so none is kept beside it.
+    """
     _writer(df, "overwrite", fmt, partition_by, codec, rebalance).save(path)
-    record_schema(df.sparkSession, path, df.schema)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet", codec: str = CODEC) -> None:
+    """Write partitions of a table of fixed schema, in place of those that it has; others stay.
+
+    Without rows nothing changes, but for the schema of a table that is new.
+    """
+    spark = df.sparkSession
+    before = recorded_schema(spark, path)
+    _writer(df, "replace_partitions", fmt, partition_by, codec, rebalance=False).save(path)
+    record_schema(spark, path, df.schema, before)
 
 
 def stage(df: DataFrame, path: str, codec: str = CODEC) -> DataFrame:
@@ -148,11 +165,11 @@ def stage(df: DataFrame, path: str, codec: str = CODEC) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(leaf)
 
 
-def _quoted(name: str) -> str:
+def quoted_name(name: str) -> str:
     return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
 
 
-def _literal(path: str) -> str:
+def quoted_literal(path: str) -> str:
     return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -164,17 +181,17 @@ def table_location(spark: SparkSession, name: str) -> str | None:
     """Where a registered table lies; None when the name is free."""
     if not spark.catalog.tableExists(name):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").filter("col_name = 'Location'")
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_name(name)}").filter("col_name = 'Location'")
     return rows.first().data_type
 
 
 def table_property(spark: SparkSession, name: str, key: str) -> str | None:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").filter(F.col("key") == key).collect()
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted_name(name)}").filter(F.col("key") == key).collect()
     return rows[0].value if rows else None
 
 
 def set_table_property(spark: SparkSession, name: str, key: str, value: str) -> None:
-    spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ({_literal(key)} = {_literal(value)})")
+    spark.sql(f"ALTER TABLE {quoted_name(name)} SET TBLPROPERTIES ({quoted_literal(key)} = {quoted_literal(value)})")
 
 
 def register_table(
@@ -197,7 +214,7 @@ def register_table(
     if at is None:
         columns = ", ".join(f"{_quoted_column(f.name)} {f.dataType.simpleString()}" for f in schema)
         parts = f"PARTITIONED BY ({', '.join(map(_quoted_column, partition_by))})" if partition_by else ""
-        spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING {fmt} {parts} LOCATION {_literal(path)}")
+        spark.sql(f"CREATE TABLE {quoted_name(name)} ({columns}) USING {fmt} {parts} LOCATION {quoted_literal(path)}")
     elif _plain(at) != _plain(path):
         raise ValueError(f"{name} shows {at}, not {path}")
     else:
@@ -214,13 +231,13 @@ def _add_columns(spark: SparkSession, name: str, schema: StructType) -> None:
     new = [f for f in schema if f.name.lower() not in known]
     if new:
         columns = ", ".join(f"{_quoted_column(f.name)} {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {_quoted(name)} ADD COLUMNS ({columns})")
+        spark.sql(f"ALTER TABLE {quoted_name(name)} ADD COLUMNS ({columns})")
 
 
 def refresh_table(spark: SparkSession, name: str, partitioned: bool) -> DataFrame:
     """Let the catalog see the files and partitions that are there now."""
     if partitioned:
-        spark.sql(f"MSCK REPAIR TABLE {_quoted(name)} SYNC PARTITIONS")
+        spark.sql(f"MSCK REPAIR TABLE {quoted_name(name)} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
@@ -237,21 +254,21 @@ def repoint_table(
         _add_columns(spark, name, schema)
     if partitioned:
         _forget_partitions(spark, name)
-    spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION {_literal(path)}")
+    spark.sql(f"ALTER TABLE {quoted_name(name)} SET LOCATION {quoted_literal(path)}")
     return refresh_table(spark, name, partitioned)
 
 
 def _forget_partitions(spark: SparkSession, name: str) -> None:
     specs = []
-    for row in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect():
+    for row in spark.sql(f"SHOW PARTITIONS {quoted_name(name)}").collect():
         pairs = (part.split("=", 1) for part in row.partition.split("/"))
         values = (
-            f"{_quoted_column(key)} = {'NULL' if value == '__HIVE_DEFAULT_PARTITION__' else _literal(unquote(value))}"
+            f"{_quoted_column(key)} = {'NULL' if value == '__HIVE_DEFAULT_PARTITION__' else quoted_literal(unquote(value))}"
             for key, value in pairs
         )
         specs.append(f"PARTITION ({', '.join(values)})")
     for start in range(0, len(specs), 500):
-        spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS {', '.join(specs[start : start + 500])}")
+        spark.sql(f"ALTER TABLE {quoted_name(name)} DROP IF EXISTS {', '.join(specs[start : start + 500])}")
 
 
 def compact_table(
@@ -272,5 +289,5 @@ def compact_table(
     rows = read_layer(spark, source, fmt, schema=schema)
     spread = rows.hint("rebalance", *partition_by) if partition_by else rows.hint("rebalance")
     _writer(spread, "overwrite", fmt, partition_by, codec, rebalance=False).save(target)
-    record_schema(spark, target, rows.schema)
+    record_schema(spark, target, rows.schema, None)
     return spark.read.format(fmt).schema(rows.schema).load(target)
