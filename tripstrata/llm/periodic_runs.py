@@ -31,6 +31,7 @@ from tripstrata.llm.common import map_batches, text_of
 
 LEAST_WORDS = 6
 EXPONENT = 4
+WORD = r"[^\x20\x09-\x0D]+"
 
 _BASE = (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 RUN = "struct<start:bigint,length:bigint,period:bigint>"
@@ -232,16 +233,18 @@ def repeated_tails(text: Column | str, key: Column | str) -> Column:
     words are then joined by one space.  Other texts, and those of null keys, stay.
     """
     value = text_of(text)
-    words = F.regexp_extract_all(value, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    words = F.regexp_extract_all(value, F.lit(WORD), F.lit(0))
     number = F.crc32((F.col(key) if isinstance(key, str) else key).cast("string").cast("binary"))
 
-    def rebuilt(parts: Column) -> Column:
-        n, g = F.size(parts).cast("long"), F.floor(number / 10)
-        a = g % n
-        p = 1 + F.floor((n - a) / (3 + g % 8))
-        return F.array_join(
-            F.transform(parts, lambda w, i: F.when(i < a, w).otherwise(F.get(parts, (a + (i - a) % p).cast("int")))), " "
-        )
-
-    chosen = (number % 10 == 0) & (F.size(words) > 0)
-    return F.when(chosen, rebuilt(words)).otherwise(value)
+    # Whole slices: a function of single words would split the text again for each.
+    n, g = F.size(words).cast("long"), F.floor(number / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    first = F.slice(words, F.lit(1), a.cast("int"))
+    period = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), (n - a).cast("int"))
+    rebuilt = F.array_join(F.concat(first, tail), " ")
+
+    chosen = (number % 10 == 0) & value.rlike(WORD)
+    return F.when(chosen, rebuilt).otherwise(value)
