@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -367,3 +368,39 @@ def test_pipeline_stages_keep_columns(spark, docs, labels, benchmark, tmp_path):
             if name != "byte_bpe":
                 assert left.columns == before.columns
         assert left.count() <= rows.count()
+
+
+@pytest.mark.parametrize("times", [2, 3, 5])
+def test_a_text_and_its_repetition_are_near_duplicates(spark, times):
+    """Plain similarity is 0.98, weighted similarity far below 0.8."""
+    rows = []
+    for n in range(60):
+        text = " ".join(f"w{n}x{k * k % 997}y{k}" for k in range(200))
+        rows += [(2 * n, text), (2 * n + 1, " ".join([text] * times))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_dedup.classes(frame).collect()}
+    assert found == {k: k - k % 2 for k, _ in rows}
+
+
+def test_recall_of_near_duplicates_by_similarity():
+    """Chance to share a band, over pairs made to a plain similarity."""
+    import random
+
+    chance, rare = random.Random(2), near_dedup.rarity
+    assert rare(np.ones(4), 10).max() <= 1 + near_dedup.IDF_SPREAD
+    met = {}
+    for changed in (4, 3, 2):  # of 200 words, five shingles each
+        hits, total = 0, 300
+        for n in range(total):
+            words = [f"{n}w{chance.random()}" for _ in range(200)]
+            other = list(words)
+            for place in range(changed):
+                other[20 + place * 40] = "changed"
+            bands = []
+            for side in (words, other):
+                hashes, _ = near_dedup.shingles(" ".join(side))
+                weights = (1 + near_dedup.IDF_SPREAD * ((hashes % np.uint64(97)).astype(np.float32) / 96)).astype(np.float32)
+                bands.append(set(near_dedup._bands(near_dedup.sample(hashes, weights))))
+            hits += bool(bands[0] & bands[1])
+        met[changed] = hits / total
+    assert met[4] >= 0.98 and met[3] >= 0.99 and met[2] == 1.0

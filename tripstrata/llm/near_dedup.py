@@ -6,10 +6,15 @@ turns that into 48 samples, two of which agree with a probability equal to the
 weighted Jaccard similarity.  Samples form twelve bands of four; texts that agree in
 a band meet in its bucket, where pairs are verified on their whole shingle sets.
 
+A text that repeats shingles has twelve more bands, from samples without the counts: it
+then also meets texts that say the same less often.  Texts without repeats have
+the same samples either way, so both kinds of bands share their buckets.
+
 * Document frequencies are counted over all documents in hashed cells, 2^20 of them
   whatever the size of the corpus, so their table has a fixed size.  They weigh a
   shingle between 1 and 1.25: rare shingles tell texts apart a little more, and a
-  group of copies that fills a third of the corpus still stays together.
+  group of copies that fills a third of the corpus still stays together.  Beyond some
+  billion different shingles all cells are alike, and the weights tend to flat ones.
 * Copies of a text share its 64-bit id and enter a bucket once.
 * Buckets with the same members are verified once.  Inside a bucket pairs go in the
   order of their agreeing samples, and pairs that are connected already are skipped,
@@ -52,8 +57,8 @@ SAMPLES = BANDS * ROWS
 CELLS = 1 << 20  # of the document frequencies
 CHUNKS = 64
 IDF_SPREAD = 0.25
-# Pairs with fewer agreeing samples are not verified: at a similarity of 0.8 the
-# chance of so few is under one in a million.
+# Pairs with fewer agreeing samples of either kind are not verified: at a similarity of
+# 0.8 the chance of so few is under one in a million.
 LEAST_AGREEING = 24
 BUCKET_TEXTS = 2000
 TEXT_CHUNK = 1 << 22
@@ -117,7 +122,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
             for part in slices(batch):
                 found = [_cells(shingles(t)[0]) for t in part.column("text").to_pylist()]
                 cells += np.bincount(np.concatenate([np.empty(0, np.int64), *found]), minlength=CELLS)
-        blobs = [c.tobytes() for c in cells.reshape(CHUNKS, -1) if True]
+        blobs = [c.tobytes() for c in cells.reshape(CHUNKS, -1)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(CHUNKS), pa.int32()), pa.array(blobs, pa.binary())], names=["chunk", "cells"]
         )
@@ -152,10 +157,13 @@ class _Weights:
     def __init__(self, broadcast):
         self.name, self.broadcast = uuid4().hex, broadcast
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """Shingles, their weights, and the weights without counts where those differ."""
         hashes, counts = shingles(text)
         rare = self.broadcast.value[_cells(hashes)]
-        return hashes, (1 + np.log(np.maximum(counts, 1))).astype(np.float32) * rare
+        if not (counts > 1).any():
+            return hashes, rare, None
+        return hashes, (1 + np.log(counts)).astype(np.float32) * rare, rare
 
 
 def sample(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -191,10 +199,13 @@ def band_rows(texts: DataFrame, weights: _Weights) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, buckets = [], []
         for text_id, text in zip(batch.column("text_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            hashes, weight = weights.of(text)
+            hashes, weight, flat = weights.of(text)
             if len(hashes):
+                found = _bands(sample(hashes, weight))
+                if flat is not None:
+                    found += _bands(sample(hashes, flat))
                 ids.append(text_id)
-                buckets.append(_bands(sample(hashes, weight)))
+                buckets.append(list(dict.fromkeys(found)))
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))], names=["text_id", "buckets"]
         )
@@ -202,7 +213,7 @@ def band_rows(texts: DataFrame, weights: _Weights) -> DataFrame:
     return map_batches(texts.select("text_id", "text"), run, "text_id long, buckets array<long>")
 
 
-_MEMBER = "bucket long, i int, j int, block int, text_id long, samples binary, hashes binary, weights binary"
+_MEMBER = "bucket long, i int, j int, block int, text_id long, samples binary, flat binary, hashes binary, weights binary"
 
 
 def _members(texts: DataFrame, weights: _Weights) -> DataFrame:
@@ -211,21 +222,23 @@ def _members(texts: DataFrame, weights: _Weights) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         for text_id, text, buckets in zip(*[batch.column(c).to_pylist() for c in ("text_id", "text", "wanted")], strict=True):
-            hashes, weight = weights.of(text)
-            body = (sample(hashes, weight).tobytes(), (hashes >> np.uint64(32)).astype(np.uint32), weight)
-            order = np.argsort(body[1], kind="stable")
-            packed = (body[0], body[1][order].tobytes(), weight[order].tobytes())
+            hashes, weight, flat = weights.of(text)
+            short = (hashes >> np.uint64(32)).astype(np.uint32)
+            order = np.argsort(short, kind="stable")
+            samples = sample(hashes, weight).tobytes()
+            without = b"" if flat is None else sample(hashes, flat).tobytes()
+            packed = (samples, without, short[order].tobytes(), weight[order].tobytes())
             for bucket in buckets:
                 blocks = -(-bucket["size"] // BUCKET_TEXTS)
                 own = text_id % blocks
                 for other in range(blocks):
                     i, j = min(own, other), max(own, other)
                     rows.append((bucket["bucket"], i, j, own, text_id, *packed))
-        columns = list(zip(*rows)) if rows else [()] * 8
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 3]
+        columns = list(zip(*rows)) if rows else [()] * 9
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-            names=["bucket", "i", "j", "block", "text_id", "samples", "hashes", "weights"],
+            names=["bucket", "i", "j", "block", "text_id", "samples", "flat", "hashes", "weights"],
         )
 
     return map_batches(texts, run, _MEMBER, rows=64)
@@ -244,12 +257,15 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
 def bucket_links(rows: list[tuple]) -> list[tuple[int, int]]:
     """Links that connect what is similar in a bucket, from its member rows.
 
-    Rows are (i, j, block, text_id, samples, hashes, weights).  In a pair of different
-    blocks only pairs across them are new, but links within are not repeated.
+    Rows are (i, j, block, text_id, samples, flat, hashes, weights); ``flat`` has the samples
+    without counts and is empty where they are the same.  In a pair of different blocks
+    only pairs across them are new, but links within are not repeated.
     """
     rows = list({row[3]: row for row in rows}.values())
     count = len(rows)
-    samples = np.stack([np.frombuffer(row[4], np.uint32) for row in rows])
+    kinds = [np.stack([np.frombuffer(row[4], np.uint32) for row in rows])]
+    if any(row[5] for row in rows):
+        kinds.append(np.stack([np.frombuffer(row[5] or row[4], np.uint32) for row in rows]))
     blocks = np.array([row[2] for row in rows])
     across = rows[0][0] != rows[0][1]
     parent = list(range(count))
@@ -262,13 +278,16 @@ def bucket_links(rows: list[tuple]) -> list[tuple[int, int]]:
 
     @functools.lru_cache(maxsize=4096)
     def body(x: int) -> tuple[np.ndarray, np.ndarray]:
-        return np.frombuffer(rows[x][5], np.uint32), np.frombuffer(rows[x][6], np.float32)
+        return np.frombuffer(rows[x][6], np.uint32), np.frombuffer(rows[x][7], np.float32)
 
     xs, ys, scores = [], [], []
     for start in range(0, count, 128):
         agree = np.zeros((min(128, count - start), count), np.int16)
-        for k in range(SAMPLES):
-            agree += samples[start : start + 128, k, None] == samples[None, :, k]
+        for samples in kinds:
+            same = np.zeros_like(agree)
+            for k in range(SAMPLES):
+                same += samples[start : start + 128, k, None] == samples[None, :, k]
+            np.maximum(agree, same, out=agree)
         near = agree >= LEAST_AGREEING
         near &= np.arange(count)[None, :] > np.arange(start, start + len(agree))[:, None]
         if across:
@@ -361,7 +380,7 @@ def similar_texts(texts: DataFrame) -> DataFrame:
         .write.parquet(f"{path}/wanted")
     )
     wanted = spark.read.parquet(f"{path}/wanted")
-    wanted = F.broadcast(wanted) if fits(wanted, 64 + 32 * BANDS) else wanted
+    wanted = F.broadcast(wanted) if fits(wanted, 64 + 64 * BANDS) else wanted
     one = (F.col("text_id") == F.col("wanted_text")) & F.col("id").eqNullSafe(F.col("wanted_id"))
     rows = _members(texts.join(wanted, one).select("text_id", "text", "wanted"), weights)
     together = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
