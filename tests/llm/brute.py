@@ -185,3 +185,42 @@ def kneser_ney(train: list[str], texts: list[str]) -> list[float | None]:
         logs = [math.log(p(g)) for g in zip(c, c[1:], c[2:])]
         out.append(-sum(logs) / len(logs) if logs else None)
     return out
+
+
+def page_languages(docs: list[tuple], pages: list[tuple]) -> dict:
+    """``(lang, confidence)`` of each page id from (tag, text) and (id, url, html), by the stated formula."""
+    from tripstrata.llm import language_id as m
+
+    counts: dict[str, np.ndarray] = {}
+    for tag, text in docs:
+        if tag and re.fullmatch(r"\s*[A-Za-z]{2,3}([-_][A-Za-z0-9_-]*)?\s*", tag):
+            code = re.split("[-_]", tag.strip().lower())[0]
+            counts.setdefault(code, np.zeros(m.CELLS))
+            for cell in m.trigram_cells(text or ""):
+                counts[code][cell] += 1
+    languages = sorted(counts)
+    logs = np.array([np.log((counts[x] + m.SMOOTH) / (counts[x] + m.SMOOTH).sum()) for x in languages])
+    rows = []
+    for key, url, body in pages:
+        logp = m.TEMPER * logs[:, m.trigram_cells(m.visible_text(body or ""))].sum(axis=1)
+        share = np.exp(logp - logp.max())
+        host, domain, suffix, path = m.address_parts(url or "")
+        rows.append((key, logp, share / share.sum(), {
+            "host": host, "domain": domain, "suffix": suffix, "path": path, "declared": m.declared_language(body or ""), "all": ""}))
+    sums = {name: defaultdict(lambda: np.zeros(len(languages))) for name in rows[0][3]}
+    for _, _, share, facts in rows:
+        for name, value in facts.items():
+            sums[name][value] += share
+    found = {}
+    for key, logp, share, facts in rows:
+        prior = np.full(len(languages), 1 / len(languages))
+        for level in ("all", "suffix", "domain", "host"):
+            others = np.maximum(sums[level][facts[level]] - share, 0)
+            prior = (others + m.STRENGTH * prior) / (others.sum() + m.STRENGTH)
+        score = logp + np.log(prior)
+        for name in ("declared", "suffix", "path"):
+            if facts[name]:
+                score = score + np.log((sums[name][facts[name]] + m.NOISE) / (sums["all"][""] + m.NOISE * len(sums[name])))
+        best = int(np.argmax(score))
+        found[key] = (languages[best], 1 / np.exp(score - score[best]).sum())
+    return found

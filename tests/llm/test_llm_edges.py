@@ -404,3 +404,24 @@ def test_recall_of_near_duplicates_by_similarity():
             hits += bool(bands[0] & bands[1])
         met[changed] = hits / total
     assert met[4] >= 0.98 and met[3] >= 0.99 and met[2] == 1.0
+
+
+def test_any_number_of_languages_by_the_stated_formula(spark):
+    codes = [a + b for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmno"]
+    tags = [c.upper() + "-x1" if n % 3 == 0 else c for n, c in enumerate(codes)]
+    texts = [" ".join(f"{c}{chr(97 + (n * k) % 26)}{chr(97 + (n + k) % 26)}" for k in range(30)) for n, c in enumerate(codes)]
+    docs = [*zip(tags, texts, strict=True), ("not a tag", "x y z"), (None, "x y z"), ("e1", "x"), ("aa", None)]
+    pages = [(n, f"http://h{n % 5}.site.{codes[n % 7]}/{codes[n]}/p", f"<html lang={codes[n]}><p>{texts[n]}") for n in range(0, 290, 12)]
+    pages += [(1000, None, None), (1001, "http://h1.site.aa/", "<html lang=zz>" + texts[3])]
+    found = language_id.identify(
+        spark.createDataFrame(pages, "page_id long, url string, html string"),
+        spark.createDataFrame(docs, "lang string, text string"),
+        block=128,
+    ).collect()
+    expected = brute.page_languages(docs, pages)
+    assert len(found) == len(pages) and len(codes) == 300
+    for r in found:
+        lang, confidence = expected[r.page_id]
+        assert r.confidence == pytest.approx(confidence, rel=1e-4)
+        assert r.lang == lang or confidence < 0.5
+    assert {r.page_id: r.lang for r in found if r.page_id < 290} == {n: codes[n] for n in range(0, 290, 12)}

@@ -146,3 +146,12 @@ def test_pipeline(spark, docs, items):
         if d not in clean:
             text = library.decode(list(memoryview(bytes(found[d[0]].ids)).cast("I")))
             assert brute.secrets(text)[:3] == (0, 0, 0) and "<secret>" in text
+
+
+def test_page_languages_by_the_stated_formula(spark):
+    labelled = duckdb.sql(f"SELECT lang, text FROM '{SF_DIR}/documents.parquet'").fetchall()
+    pages = duckdb.sql(f"SELECT page_id, url, html FROM '{SF_DIR}/pages.parquet'").fetchall()
+    expected = brute.page_languages(labelled, pages)
+    for r in query(spark, "op6_").collect():
+        assert r.lang == expected[r.page_id][0]
+        assert r.confidence == pytest.approx(expected[r.page_id][1], rel=1e-5)

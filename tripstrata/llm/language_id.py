@@ -19,6 +19,7 @@ per task; its pages then meet their host's row in a join that adaptive execution
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from collections.abc import Iterator
@@ -33,7 +34,10 @@ from tripstrata.llm.common import importable_in_tasks, map_batches, slices, text
 from tripstrata.sources.scratch import scratch_dir
 
 CELLS = 1 << 15
-LANGUAGES = 256  # of the labels; the model would not be small beyond
+BLOCK = 256  # languages whose part of the model a Python worker holds at once: 32 MiB
+HELD = 64  # languages that a task counts side by side
+# Fixed by the standard: a tag begins with a code of two or three letters.
+TAG = r"^\s*([A-Za-z]{2,3})(?:[-_][A-Za-z0-9_-]*)?\s*$"
 SMOOTH = 0.5  # added to every trigram cell
 TEMPER = 0.25  # trigrams overlap, so the text counts for less than their product
 STRENGTH = 5.0  # pages that a level of the hierarchy is worth to the one below
@@ -76,41 +80,59 @@ def trigram_cells(text: str) -> np.ndarray:
 def train(docs: DataFrame, language: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages in order and the log likelihood of each cell under each of them.
 
-    Rows without a language are left out.  Counts cover all labelled rows.
+    A language is the first code of its tag, in small letters: ``en`` for ``EN-us``.  Rows
+    with another kind of tag, or none, are left out.  Counts cover all labelled rows.
+    The languages are as many as there are codes, some hundreds in practice.
     """
-    labelled = docs.filter(F.col(language).isNotNull()).select(
-        F.col(language).cast("string").alias("lang"), text_of().alias("text")
-    )
-    languages = [r[0] for r in labelled.select("lang").distinct().orderBy("lang").limit(LANGUAGES + 1).collect()]
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    tag = F.lower(F.regexp_extract(F.col(language).cast("string"), TAG, 1))
+    labelled = docs.select(tag.alias("lang"), text_of().alias("text")).filter("lang <> ''")
     importable_in_tasks(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+
+        def counted() -> pa.RecordBatch:
+            names = list(sums)
+            blobs = [sums[n].tobytes() for n in names]
+            sums.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(blobs, pa.binary())], names=["lang", "cells"])
+
         for batch in batches:
             for part in slices(batch):
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if lang not in sums and len(sums) >= HELD:
+                        yield counted()
                     own = sums.setdefault(lang, np.zeros(CELLS, np.int64))
                     own += np.bincount(trigram_cells(text), minlength=CELLS)
-        names = list(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([sums[n].tobytes() for n in names], pa.binary())], names=["lang", "cells"]
-        )
+        yield counted()
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(CELLS, np.int64)
-        for blob in table.column("cells"):
-            total += np.frombuffer(blob.as_buffer(), np.int64)
-        return pa.table({"lang": table.column("lang").slice(0, 1), "cells": pa.array([total.tobytes()], pa.binary())})
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = None, np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for part in slices(batch, 16):
+                for lang, blob in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if held is not None and lang != held:
+                        yield summed_row(held, total)
+                        total = np.zeros(CELLS, np.int64)
+                    held = lang
+                    total += np.frombuffer(blob, np.int64)
+        if held is not None:
+            yield summed_row(held, total)
+
+    def summed_row(lang: str, total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([total.tobytes()], pa.binary())], names=["lang", "cells"])
 
     schema = "lang string, cells binary"
-    summed = labelled.mapInArrow(tidy(count), schema).groupBy("lang").applyInArrow(add, schema)
-    counts = np.zeros((len(languages), CELLS))
-    for row in summed.collect():  # one row of fixed size for each language
-        counts[languages.index(row.lang)] = np.frombuffer(row.cells, np.int64)
-    counts += SMOOTH
-    return languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    counted = labelled.mapInArrow(tidy(count), schema)
+    summed = counted.repartition("lang").sortWithinPartitions("lang").mapInArrow(tidy(add), schema)
+    # One row of fixed size for each language.
+    found = {row.lang: np.frombuffer(row.cells, np.int64) for row in summed.collect()}
+    languages = sorted(found)
+    logs = np.empty((len(languages), CELLS), np.float32)
+    for number, lang in enumerate(languages):
+        counts = found.pop(lang) + SMOOTH
+        logs[number] = np.log(counts / counts.sum())
+    return languages, logs
 
 
 class _Model:
@@ -134,16 +156,29 @@ def address_parts(url: str) -> tuple[str, str, str, str]:
     return host, ".".join(labels[-2:]), labels[-1], code
 
 
-def read_pages(pages: DataFrame, model: _Model, key: str, url: str, page: str) -> DataFrame:
-    """A row of evidence for each page; null columns read as empty ones."""
+def read_pages(pages: DataFrame, models: list[_Model], key: str, url: str, page: str) -> DataFrame:
+    """A row of evidence for each page; null columns read as empty ones.
+
+    Each block of languages scores the texts in a pass of its own, so no worker holds more
+    than one block of the model.  The last pass adds the other evidence.
+    """
     kind = pages.schema[key].dataType.simpleString()
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        logs = model.broadcast.value
+    def likelihoods(model: _Model, batch: pa.RecordBatch) -> list[np.ndarray]:
+        logs, before = model.broadcast.value, batch.column("logp").to_pylist()
+        bodies = batch.column("body").to_pylist()
+        own = [logs[:, trigram_cells(visible_text(body))].sum(axis=1, dtype=np.float64) * TEMPER for body in bodies]
+        return [np.concatenate([a or [], b]) for a, b in zip(before, own, strict=True)]
+
+    def score(batch: pa.RecordBatch, model: _Model) -> pa.RecordBatch:
+        logp = pa.array([x.tolist() for x in likelihoods(model, batch)], pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], logp], names=["key", "url", "body", "logp"])
+
+    def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for address, body in zip(batch.column("url").to_pylist(), batch.column("body").to_pylist(), strict=True):
-            logp = logs[:, trigram_cells(visible_text(body))].sum(axis=1, dtype=np.float64) * TEMPER
-            share = np.exp(logp - logp.max()) if len(logp) else logp
+        scored = likelihoods(models[-1], batch)
+        for address, body, logp in zip(batch.column("url").to_pylist(), batch.column("body").to_pylist(), scored, strict=True):
+            share = np.exp(logp - logp.max())
             rows.append((*address_parts(address), declared_language(body), logp.tolist(), (share / share.sum()).tolist()))
         columns = list(zip(*rows)) if rows else [()] * 7
         types = [*[pa.string()] * 5, pa.list_(pa.float64()), pa.list_(pa.float64())]
@@ -156,8 +191,13 @@ def read_pages(pages: DataFrame, model: _Model, key: str, url: str, page: str) -
         F.col(key).alias("key"),
         F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col(page).cast("string"), F.lit("")).alias("body"),
+        F.lit(None).cast("array<double>").alias("logp"),
     )
-    return map_batches(rows, run, _PAGE.format(kind=kind), rows=128)
+    for model in models[:-1]:
+        rows = map_batches(
+            rows, functools.partial(score, model=model), f"key {kind}, url string, body string, logp array<double>", rows=128
+        )
+    return map_batches(rows, finish, _PAGE.format(kind=kind), rows=128)
 
 
 def _sums(rows: DataFrame, by: list[str], name: str, size: int) -> DataFrame:
@@ -180,7 +220,8 @@ def _smoothed(counts: Column, above: Column) -> Column:
 
 
 def identify(
-    pages: DataFrame, docs: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", language: str = "lang"
+    pages: DataFrame, docs: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", language: str = "lang",
+    block: int = BLOCK,
 ) -> DataFrame:
     """``key, lang, confidence, text_lang, declared, host`` for each page.
 
@@ -196,8 +237,9 @@ def identify(
     if not size:
         nothing = {"lang": "string", "confidence": "double", "text_lang": "string", "declared": "string", "host": "string"}
         return pages.select(key, *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
-    model = _Model(spark.sparkContext.broadcast(logs))
-    read_pages(pages, model, key, url, page).write.parquet(f"{path}/pages")
+    blocks = [logs[n : n + block] for n in range(0, size, block)]
+    models = [_Model(spark.sparkContext.broadcast(part)) for part in blocks]
+    read_pages(pages, models, key, url, page).write.parquet(f"{path}/pages")
     rows = spark.read.parquet(f"{path}/pages")
 
     # Sums by host, then up the hierarchy from the sums below.
