@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstrata.operators.summaries import day_of, source_metrics
+from tripstrata.plans.flows import side_by_side
 from tripstrata.sources.readers import read_layer
 from tripstrata.sources.scratch import scratch_dir
 from tripstrata.sources.writers import replace_partitions, stage, stored_schema
@@ -107,8 +108,12 @@ def refresh_days(spark: SparkSession, states: str, gold: str, dates: Sequence[da
     """Replace the gold rows of these days, from their states alone."""
     touched = read_layer(spark, states, schema=STATE_SCHEMA).filter(_on(dates))
     touched = stage(touched, scratch_dir(spark, "touched-days"))
-    for name, table in (("daily_summary", summary_of_states(touched)), ("source_metrics", metrics_of_states(touched, sources))):
-        replace_partitions(table.repartition(32, "date"), f"{gold}/{name}", ["date"])
+    tables = {"daily_summary": summary_of_states(touched), "source_metrics": metrics_of_states(touched, sources)}
+
+    def replace(name: str) -> None:
+        replace_partitions(tables[name].repartition(32, "date"), f"{gold}/{name}", ["date"])
+
+    side_by_side(spark, replace, list(tables))
 
 
 def read_gold(spark: SparkSession, gold: str, name: str) -> DataFrame:
