@@ -47,6 +47,30 @@ def secrets(text: str | None) -> tuple:
     return counts["assign"], counts["access"], counts["hex"], sha(listed)
 
 
+def secret_spans(text: str) -> list[tuple]:
+    """(start, number, end, kind) of all findings of a text whose values have one owner."""
+    found = []
+    for number, (kind, pattern) in enumerate(_SECRETS.items()):
+        least = {"assign": 8, "access": 16, "hex": 32}[kind]
+        found += [(m.start(), number, m.end(), kind) for m in pattern.finditer(text) if len(m[pattern.groups]) >= least]
+    covered = {at for start, _, end, _ in found for at in range(start, end)}
+    for m in re.finditer("[A-Za-z0-9+/_-]{20,}", text):
+        value = m[0]
+        mixed = sum(c.isdigit() for c in value) > 1 and value.upper() != value != value.lower()
+        live = len(set(value)) >= 8 and not re.search("example|sample|dummy|changeme|placeholder|your[_-]|xxxx|1234567", value, re.I)
+        if mixed and live and covered.isdisjoint(range(*m.span())):
+            found.append((m.start(), 3, m.end(), "opaque"))
+    return sorted(found)
+
+
+def redacted(text: str, spans: list[tuple]) -> str:
+    out, at = [], 0
+    for start, _, end, _ in spans:
+        out += [] if start < at else [text[at:start], "<secret>"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
 def windows(items: list[tuple], size: int = 13) -> dict[tuple, set[str]]:
     owners = defaultdict(set)
     for item, text in items:

@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
+import random
+
 import brute
 import numpy as np
 import public_tokenizers
@@ -96,6 +98,30 @@ def test_redaction_keeps_rows_and_columns(docs):
     assert texts[0] is None and texts[5] == PROSE
 
 
+def dense_text(rng, n):
+    """Findings of all kinds, side by side and inside one another, among letters of 1 to 4 bytes."""
+    parts = []
+    for _ in range(n):
+        digest = rng.randbytes(32).hex()
+        parts.append(rng.choice([digest, f"password={digest[:20]}", "token: é€😀 x", f"AKIA{digest[:16].upper()}",
+                                 f"Zq9{digest[:12].upper()}{digest[12:24]}aB", "wörd 😀 " * rng.randrange(20)]))
+    return rng.choice([" ", "\n", "€", ""]).join(parts)
+
+
+def test_texts_full_of_secrets(spark):
+    """More matches in a text than a block of the running sums holds; every text has one owner."""
+    rng = random.Random(11)
+    texts = [dense_text(rng, n) for n in (0, 1, 2, 63, 64, 65, 128, 129, 300, 700)] + [dense_text(rng, 12_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit("o/r"))
+    found = {r.doc_id: r for r in secret_scan.scan_secrets(docs, F.col("source"), F.lit("o")).collect()}
+    redacted = {r.doc_id: r.text for r in secret_scan.redact_secrets(docs, F.col("source"), F.lit("o")).collect()}
+    for n, text in enumerate(texts):
+        assert (found[n].n_assign, found[n].n_access, found[n].n_hex, found[n].base_sha256) == brute.secrets(text)
+        spans = brute.secret_spans(text)
+        assert found[n].spans == ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in spans)
+        assert redacted[n] == brute.redacted(text, spans)
+
+
 def test_near_classes(docs):
     found = {r.doc_id: r.class_id for r in near_dedup.classes(docs).filter("doc_id IS NOT NULL").collect()}
     classes = brute.near_classes([(n, t) for n, t in enumerate(TEXTS)])

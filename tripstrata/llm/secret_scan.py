@@ -8,22 +8,27 @@ findings when they look live and are specific to an owner.
 
 DataFrame functions throughout, no Python in tasks.  Positions come from splitting
 the text by the pattern: the pieces between the matches and the matches themselves
-have known lengths.  Findings are staged once, without the texts.  A value that
+have known lengths, and the work for a text grows in proportion to it and its matches.
+Findings are staged once, without the texts.  A value that
 fills a third of the corpus is combined inside each task before it shuffles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import broadcast_if_small, text_of
+from tripstrata.llm.common import BROADCAST_BYTES, text_of
 from tripstrata.sources.scratch import scratch_dir
 
 # From this many owners on, a value counts as a widely copied example.
 WIDE_OWNERS = 3
 # A live-looking value has at least this many different characters.
 LIVE_CHARACTERS = 8
+BLOCK = 64  # entries of an array that are summed at once
+PIECE = 64  # characters of a text that stay together while it is cut
 
 # Fixed by the contract: kinds in their order, and their patterns.  A pattern with a
 # least length finds the same runs as one that drops short matches, except for
@@ -38,6 +43,44 @@ OPAQUE = r"[A-Za-z0-9+/_-]{20,}"
 PLACEHOLDERS = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]|xxxx|1234567"
 
 
+_SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _last(values: Column) -> Column:
+    return F.get(values, F.size(values) - 1)
+
+
+def _running(values: Column) -> Column:
+    """The sum of an array of integers up to each entry.
+
+    Appending copies the array so far, so sums run inside blocks, then over the
+    blocks: the cost of an entry does not grow with the array.
+    """
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all"))
+
+    def add(a: Column, x: Column) -> Column:
+        total = a.getField("sum") + x
+        return F.struct(total.alias("sum"), F.array_append(a.getField("all"), total).alias("all"))
+
+    def within(block: Column) -> Column:
+        return F.aggregate(block, start, add, lambda a: a.getField("all"))
+
+    def cut(every: Column) -> Column:
+        last = F.floor((F.greatest(F.size(every), F.lit(1)) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: within(F.slice(every, i * BLOCK + 1, F.lit(BLOCK))))
+
+    def shifted(blocks: Column) -> Column:
+        upto = within(F.transform(blocks, lambda b: F.coalesce(_last(b), F.lit(0))))
+        return F.flatten(F.zip_with(blocks, upto, lambda b, u: F.transform(b, lambda x: x + (u - _last(b)))))
+
+    return _let(_let(values, cut), shifted)
+
+
 def _matches(text: Column, pattern: str, kind: int, group: int) -> Column:
     """Array of (start, kind, end, value) of all matches, left to right."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -47,21 +90,20 @@ def _matches(text: Column, pattern: str, kind: int, group: int) -> Column:
         F.transform(found, F.length).alias("size"),
         values.alias("value"),
     )
-    row = "array<struct<start:int,kind:int,end:int,value:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(row).alias("all"))
+    # The last gap has no match after it.
+    paired = F.filter(parts, lambda p: p.getField("size").isNotNull())
 
-    def add(a: Column, part: Column) -> Column:
-        begin = a.getField("at") + part.getField("gap")
-        end = begin + part.getField("size")
-        one = F.struct(
+    def span(part: Column, end: Column) -> Column:
+        begin = end - part.getField("size")
+        return F.struct(
             begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), part.getField("value").alias("value")
         )
-        return F.struct(end.alias("at"), F.array_append(a.getField("all"), one).alias("all"))
 
-    # The last gap has no match after it.
-    paired = F.filter(parts, lambda p: p.getField("size").isNotNull())
-    spans = F.aggregate(paired, start, add, lambda a: a.getField("all"))
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(row))
+    def spans(parts: Column) -> Column:
+        ends = _running(F.transform(parts, lambda p: p.getField("gap") + p.getField("size")))
+        return F.zip_with(parts, ends, span)
+
+    return F.when(text.rlike(pattern), _let(paired, spans)).otherwise(F.array().cast(_SPAN))
 
 
 def _looks_live(value: Column) -> Column:
@@ -73,7 +115,7 @@ def candidates(text: Column) -> dict[str, Column]:
     """``base`` and ``extra``: arrays of (start, kind, end, value)."""
     assign = F.filter(_matches(text, ASSIGN, 0, 2), lambda s: F.length(s.getField("value")) >= VALUE_LENGTH)
     access = F.when(text.contains("AKIA"), _matches(text, ACCESS, 1, 0))
-    base = F.concat(assign, F.coalesce(access, F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")), _matches(text, HEX, 2, 0))
+    base = F.concat(assign, F.coalesce(access, F.array().cast(_SPAN)), _matches(text, HEX, 2, 0))
     mixed = F.filter(
         _matches(text, OPAQUE, 3, 0),
         lambda s: s.getField("value").rlike("[0-9].*[0-9]")
@@ -83,15 +125,36 @@ def candidates(text: Column) -> dict[str, Column]:
     return {"base": F.array_sort(base), "extra": mixed}
 
 
+def _touched(spans: Column, e: Column) -> Column:
+    """Whether a span touches one of those given, which are in order and do not overlap.
+
+    The first that ends after the span begins is found by halving.
+    """
+    start = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+
+    def halve(a: Column, _: Column) -> Column:
+        low, high = a.getField("low"), a.getField("high")
+        middle = F.shiftright(low + high, 1)
+        before = (low < high) & (F.get(spans, middle).getField("end") <= e.getField("start"))
+        return F.struct(
+            F.when(before, middle + 1).otherwise(low).alias("low"),
+            F.when(before, high).otherwise(middle).alias("high"),
+        )
+
+    halvings = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+    first = F.get(spans, F.aggregate(halvings, start, halve, lambda a: a.getField("low")))
+    return F.coalesce(first.getField("start") < e.getField("end"), F.lit(False))
+
+
 def _apart(base: Column, extra: Column) -> Column:
-    """Extra spans that touch no base span."""
-    return F.filter(
-        extra,
-        lambda e: ~F.exists(
-            base,
-            lambda b: (b.getField("start") < e.getField("end")) & (e.getField("start") < b.getField("end")),
-        ),
-    )
+    """Extra spans that touch no base span.  Base spans of one kind do not overlap."""
+
+    def of_kind(kind: int) -> Column:
+        return F.filter(base, lambda s: s.getField("kind") == kind)
+
+    by_kind = F.array(*map(of_kind, range(3)))
+    free = _let(by_kind, lambda kinds: F.filter(extra, lambda e: ~F.exists(kinds, lambda one: _touched(one, e))))
+    return F.when((F.size(extra) > 0) & (F.size(base) > 0), free).otherwise(extra)
 
 
 def stage_findings(docs: DataFrame, repository: Column, owner: Column, keep: list[str]) -> DataFrame:
@@ -144,21 +207,31 @@ def ownership(findings: DataFrame) -> DataFrame:
     )
 
 
-def judged_spans(staged: DataFrame, wide_owners: int = WIDE_OWNERS) -> DataFrame:
-    """``_row, judged``: spans of each row that has some, in order.
+def _judged(staged: DataFrame, wide_owners: int) -> DataFrame:
+    """``_row, start, kind, end, wide, live``: the spans that stay.
 
-    A span is (start, kind, end, wide, live).  Extra candidates stay only when they
-    look live and belong to few owners.
+    Extra candidates stay only when they look live and belong to few owners.
     """
     both = F.concat("_base", "_extra")
     findings = staged.filter(F.size(both) > 0).select("_row", "_repository", "_owner", F.inline(both))
-    wide = F.col("n_owners") >= wide_owners
-    judged = findings.join(ownership(findings), "digest").withColumn("wide", wide)
+    judged = findings.join(ownership(findings), "digest").withColumn("wide", F.col("n_owners") >= wide_owners)
     stays = (F.col("kind") < KINDS.index("opaque")) | (F.col("live") & ~F.col("wide"))
+    return judged.filter(stays).select("_row", "start", "kind", "end", "wide", "live")
+
+
+def judged_spans(staged: DataFrame, wide_owners: int = WIDE_OWNERS) -> DataFrame:
+    """``_row, judged``: spans (start, kind, end, wide, live) of each row that has some, in order."""
     span = F.struct("start", "kind", "end", "wide", "live")
-    return (
-        judged.filter(stays).groupBy("_row").agg(F.array_sort(F.collect_list(span)).alias("judged"))
-    )
+    return _judged(staged, wide_owners).groupBy("_row").agg(F.array_sort(F.collect_list(span)).alias("judged"))
+
+
+def _cuts(staged: DataFrame, wide_owners: int = WIDE_OWNERS) -> DataFrame:
+    """``_row, cuts``: per span (start, end, at, wide), where ``at`` ends the spans before it."""
+    order = Window.partitionBy("_row").orderBy("start", "kind", "end")
+    at = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    cut = F.struct("start", "kind", "end", F.coalesce(at, F.lit(0)).alias("at"), "wide")
+    spans = _judged(staged, wide_owners).select("_row", cut.alias("cut"))
+    return spans.groupBy("_row").agg(F.array_sort(F.collect_list("cut")).alias("cuts"))
 
 
 def _listed(spans: Column) -> Column:
@@ -203,6 +276,32 @@ def scan_secrets(docs: DataFrame, repository: Column, owner: Column, key: str =
     )
 
 
+def _redacted(value: Column, cuts: Column) -> Column:
+    """The text with a mark in place of every span; spans that overlap share a mark.
+
+    A position is reached by counting characters from the start of a string, so the
+    text is first cut into short pieces: the work grows with its length alone.
+    """
+    pieces = F.regexp_extract_all(value, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def between(pieces: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / PIECE).cast("int")
+        over = F.slice(pieces, first + 1, F.ceil(end / PIECE).cast("int") - first)
+        return F.substr(F.array_join(over, ""), start % PIECE + 1, end - start)
+
+    def marked(pieces: Column, s: Column) -> Column:
+        at, start = s.getField("at"), s.getField("start")
+        mark = F.when(s.getField("wide"), "<example-secret>").otherwise("<secret>")
+        return F.when(start < at, "").otherwise(F.concat(between(pieces, at, F.greatest(start, at)), mark))
+
+    def joined(pieces: Column) -> Column:
+        end = F.greatest(_last(cuts).getField("at"), _last(cuts).getField("end"))
+        parts = F.transform(cuts, lambda s: marked(pieces, s))
+        return F.concat(F.array_join(parts, ""), between(pieces, end, F.length(value)))
+
+    return _let(pieces, joined)
+
+
 def redact_secrets(docs: DataFrame, repository: Column, owner: Column, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with every finding replaced by a mark of its class.
 
@@ -211,28 +310,17 @@ def redact_secrets(docs: DataFrame, repository: Column, owner: Column, text: str
     """
     staged = stage_findings(docs, repository, owner, docs.columns)
     path = scratch_dir(docs.sparkSession, "secret-spans")
-    judged_spans(staged).write.parquet(path)
+    _cuts(staged).write.parquet(path)
     found = docs.sparkSession.read.parquet(path)
+    # Counted, since a text may hold any number of spans.
+    (spans, rows) = found.agg(F.coalesce(F.sum(F.size("cuts")), F.lit(0)), F.count(F.lit(1))).first()
+    if spans * 64 + rows * 64 <= BROADCAST_BYTES:
+        found = F.broadcast(found)
     value = F.col("_doc").getField(text)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def cut(a: Column, s: Column) -> Column:
-        begin = F.greatest(s.getField("start"), a.getField("at"))
-        mark = F.when(s.getField("wide"), "<example-secret>").otherwise("<secret>")
-        gap = F.substr(value, a.getField("at") + 1, begin - a.getField("at"))
-        inside = s.getField("start") < a.getField("at")  # of the span before
-        return F.struct(
-            F.greatest(a.getField("at"), s.getField("end")).alias("at"),
-            F.when(inside, a.getField("out")).otherwise(F.concat(a.getField("out"), gap, mark)).alias("out"),
-        )
-
-    redacted = F.aggregate(
-        "judged", start, cut, lambda a: F.concat(a.getField("out"), F.substr(value, a.getField("at") + 1))
-    )
-    joined = staged.join(broadcast_if_small(found, 512), "_row", "left")
+    joined = staged.join(found, "_row", "left")
     return joined.select(
         *[
-            F.when(F.col("judged").isNotNull(), redacted).otherwise(value).alias(c)
+            F.when(F.col("cuts").isNotNull(), _redacted(value, F.col("cuts"))).otherwise(value).alias(c)
             if c == text
             else F.col("_doc").getField(c).alias(c)
             for c in docs.columns
