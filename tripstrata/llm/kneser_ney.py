@@ -13,7 +13,8 @@ probabilities of their shard, and only a partial sum per document leaves a shard
 Texts are never shuffled, and a text copied a million times is a million rows of
 a sum that combines inside each task.
 
-Thresholds are a stated quantile of the trusted documents of each language.
+Thresholds are a stated quantile of the trusted documents of each language, exact over
+log perplexities of seven decimals, so that repeated runs give the same verdicts.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripstrata.llm.common import (
@@ -47,6 +48,7 @@ LEAST_TRUSTED = 30
 # A limit is the HIGH quantile of trusted documents.  On held-out labels 0.98 rejects 4 %
 # of the good documents where a language has few of them.
 MIDDLE, HIGH = 0.5, 0.99
+DECIMALS = 7  # of a log perplexity and of its distance from the middle
 
 _BITS = 21  # of a code point
 _MASK = (1 << _BITS) - 1
@@ -272,6 +274,33 @@ def perplexities(docs: DataFrame, trusted: DataFrame, key: str = "doc_id") -> Da
     )
 
 
+def nearest_ranks(values: DataFrame, probabilities: list[float], width: float) -> DataFrame:
+    """``lang, p, v, total``: exact quantiles of ``v`` per language, and of all rows as null.
+
+    Equal values collapse inside tasks.  Cells of the given width find where a rank
+    lies, then the values of that cell alone are ordered, so no window sees more
+    than the cells of a language or the values of one cell.
+    """
+    counts = values.groupBy(F.concat(F.lit("="), "lang").alias("group"), "v").agg(F.count(F.lit(1)).alias("n"))
+    whole = counts.groupBy(F.lit("").alias("group"), "v").agg(F.sum("n").alias("n"))
+    celled = counts.unionByName(whole).withColumn("cell", F.floor(F.col("v") / width))
+    group = Window.partitionBy("group")
+    cells = celled.groupBy("group", "cell").agg(F.sum("n").alias("n")).withColumns(
+        {"upto": F.sum("n").over(group.orderBy("cell")), "total": F.sum("n").over(group)}
+    )
+    rank = F.greatest(F.ceil(F.col("p") * F.col("total")), F.lit(1))
+    sought = cells.withColumn("p", F.explode(F.array(*map(F.lit, probabilities)))).filter(
+        (rank <= F.col("upto")) & (rank > F.col("upto") - F.col("n"))
+    )
+    sought = sought.select("group", "cell", "p", "total", (rank - F.col("upto") + F.col("n")).alias("rank"))
+    inside = celled.join(sought, ["group", "cell"]).withColumn(
+        "upto", F.sum("n").over(Window.partitionBy("group", "p").orderBy("v"))
+    )
+    found = inside.filter((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
+    lang = F.when(F.col("group") != "", F.substring("group", 2, 1 << 30))
+    return found.select(lang.alias("lang"), "p", "v", "total")
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", language: str = "lang"
 ) -> DataFrame:
@@ -295,17 +324,22 @@ def classify(
     rows = docs.select(
         F.col(key).alias("key"), lang, text_key(text).alias("text_key"), F.greatest(F.length(text), F.lit(1)).alias("size")
     )
-    rows.join(scores, "text_key", "left").write.parquet(f"{path}/scored")
+    # Rounded, so that the order in which tasks add up cannot sway a verdict.
+    score = F.round("log_perplexity", DECIMALS)
+    rows.join(scores, "text_key", "left").withColumn("log_perplexity", score).write.parquet(f"{path}/scored")
     scored = spark.read.parquet(f"{path}/scored")
     held = scored.join(broadcast_if_small(trusted, 64), "key", "left_semi").filter("log_perplexity IS NOT NULL")
 
-    def limits(value: Column, frame: DataFrame, name: str) -> None:
+    def limits(value: Column, frame: DataFrame, name: str, width: float) -> None:
         """Write middle and limit of a value per language, and over all of them as null."""
-        found = F.percentile_approx(value, [MIDDLE, HIGH], 10_000)
-        pair = (F.get("q", F.lit(0)).alias(f"{name}_middle"), F.get("q", F.lit(1)).alias(f"{name}_limit"))
-        own = frame.groupBy("lang").agg(found.alias("q"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_TRUSTED)
-        everywhere = frame.agg(found.alias("q")).select(F.lit(None).cast("string").alias("lang"), *pair)
-        own.select("lang", *pair).unionByName(everywhere).write.parquet(f"{path}/{name}")
+        found = nearest_ranks(frame.select("lang", value.alias("v")), [MIDDLE, HIGH], width)
+        both = found.groupBy("lang").agg(
+            F.max(F.when(F.col("p") == MIDDLE, F.col("v"))).alias(f"{name}_middle"),
+            F.max(F.when(F.col("p") == HIGH, F.col("v"))).alias(f"{name}_limit"),
+            F.max("total").alias("n"),
+        )
+        enough = F.col("lang").isNull() | (F.col("n") >= LEAST_TRUSTED)
+        both.filter(enough).drop("n").write.parquet(f"{path}/{name}")
 
     def limited(frame: DataFrame, name: str) -> DataFrame:
         """The rows with the middle and the limit of their language."""
@@ -315,10 +349,10 @@ def classify(
         both = [f"{name}_middle", f"{name}_limit"]
         return joined.withColumns({c: F.coalesce(c, general.getField(c)) for c in both})
 
-    limits(F.col("log_perplexity"), held, "level")
+    limits(F.col("log_perplexity"), held, "level", 1 / 1024)
     # Short texts stray further: their distance from the middle counts in standard errors.
-    errors = (F.col("log_perplexity") - F.col("level_middle")) * F.sqrt("size")
-    limits(errors, limited(held, "level"), "error")
+    errors = F.round((F.col("log_perplexity") - F.col("level_middle")) * F.sqrt("size"), DECIMALS)
+    limits(errors, limited(held, "level"), "error", 1 / 16)
     judged = limited(limited(scored, "level"), "error")
     threshold = F.greatest("level_limit", F.col("level_middle") + F.col("error_limit") / F.sqrt("size"))
     kept = F.coalesce(F.col("log_perplexity") <= threshold, F.col("log_perplexity").isNotNull())
