@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripstrata.operators.quarantine import judge_rows, quarantined, reconcile
+from tripstrata.operators.states import column_states, merge_states, merged_fences, merged_quantiles, read_states, record_states
 from tripstrata.operators.totals import totals
+from tripstrata.operators.validity import join_valid
 from tripstrata.plans import history, incremental
 from tripstrata.plans.flows import silver
 from tripstrata.plans.rules import CleaningRules
@@ -189,3 +191,56 @@ def test_replaced_partitions_leave_others(spark, tmp_path):
     replace_partitions(both.limit(0), path, ["p"])
     assert sorted(tuple(r) for r in read_layer(spark, path).collect()) == [(1, "a"), (9, "b")]
     assert recorded_schema(spark, path).names == ["v", "p"]
+
+
+def test_states_of_loads_merge_and_a_repeated_load_counts_once(spark, tmp_path):
+    path = str(tmp_path / "states")
+    frame = lambda values: spark.createDataFrame([(v, v and str(v)) for v in values], "x double, name string")
+    record_states(frame([1e9] * 50), "a", path, ["x"], ["x", "name"])
+    record_states(frame([float(n) for n in range(1000)] + [None, float("nan")]), "a", path, ["x"], ["x", "name"])
+    record_states(frame([float(n) for n in range(500, 2000)] + [0.0, -0.0]), "b", path, ["x"], ["x", "name"])
+    record_states(frame([]), "c", path, ["x"], ["x", "name"])
+    states = read_states(spark, path)
+    assert states.groupBy("load").count().count() == 3
+    merged = {r.column: r for r in merge_states(states).collect()}
+    assert (merged["x"].n, merged["x"].n_null, merged["name"].n_null) == (2502, 1, 1)
+    assert merged["x"].n_distinct == pytest.approx(2001, rel=0.03)  # NaN is a value
+    values = sorted([*range(1000), *range(500, 2000), 0, 0])
+    (found,) = merged_quantiles(states, [0.0, 0.5, 1.0]).collect()
+    assert (found.quantiles[0], found.quantiles[2]) == (0.0, 1999.0)
+    assert abs(values.index(int(found.quantiles[1])) / len(values) - 0.5) < 0.015
+    fences = merged_fences(states, "x").first().fences
+    low, high = (values[int(p * len(values))] for p in (0.25, 0.75))
+    assert fences.low == pytest.approx(low - 1.5 * (high - low), abs=120)
+    assert fences.high == pytest.approx(high + 1.5 * (high - low), abs=120)
+
+
+def test_states_without_values_and_without_columns(spark):
+    rows = spark.createDataFrame([(None, float("nan"))], "x double, y double")
+    assert [(r.n, r.n_null, r.quantiles) for r in column_states(rows, ["x", "y"], []).collect()] == [(0, 1, None), (0, 0, None)]
+    assert merged_quantiles(column_states(rows, ["x", "y"], [])).collect() == []
+    with pytest.warns(UserWarning, match="not found"), pytest.raises(ValueError, match="no columns"):
+        column_states(rows, ["z"], [])
+
+
+def test_validity_join_equals_every_pair_compared(spark):
+    day = lambda n: None if n is None else dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * n)
+    facts = [(n, n % 4 if n % 9 else None, day(None if n % 13 == 0 else n)) for n in range(400)] + [(7, 1, day(7))] * 3
+    terms = [(k, f"{k}-{n}", day(low), day(high)) for k in (0, 1, 2, None) for n, (low, high) in enumerate(
+        [(None, 20), (20, 21), (50, 300), (300, 300), (310, 305), (250, 320), (350, None), (-9000, -8000)])]
+    left = spark.createDataFrame(facts, "_slot0 int, k int, at timestamp_ntz")
+    right = spark.createDataFrame(terms, "k int, own string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    want = []
+    for number, k, at in facts:
+        held = [t for t in terms if None not in (k, at) and t[0] == k and (t[2] is None or t[2] <= at) and (t[3] is None or at < t[3])]
+        want += [(number, k, at, *t[1:]) for t in held or [(None,) * 4]]
+    for days in (1, 90):
+        joined = join_valid(left, right, "k", "at", days=days)
+        assert joined.columns == ["_slot0", "k", "at", "own", "valid_from", "valid_to"]
+        assert sorted(map(str, map(tuple, joined.collect()))) == sorted(map(str, want))
+        assert "NestedLoop" not in plan_of(joined) and "Cartesian" not in plan_of(joined)
+    assert join_valid(left.limit(0), right, "k", "at").count() == 0
+    alone = join_valid(left, right.limit(0), "k", "at")
+    assert alone.count() == len(facts) and alone.filter("own IS NOT NULL").count() == 0
+    with pytest.raises(ValueError, match="columns of both"):
+        join_valid(left.withColumn("own", F.lit(1)), right, "k", "at")

@@ -13,8 +13,10 @@ from tripstrata.catalog.views import EVENT_SOURCES, GREEN_SQL, YELLOW_SQL, event
 from tripstrata.operators.corrections import parse_timestamps
 from tripstrata.operators.enrich import add_ingest_metadata, add_trip_duration
 from tripstrata.operators.quarantine import judge_rows, quarantined, reconcile
+from tripstrata.operators.states import merge_states, merged_quantiles, read_states, record_states
 from tripstrata.operators.summaries import union_common
 from tripstrata.operators.totals import totals
+from tripstrata.operators.validity import join_valid
 from tripstrata.plans import history, incremental
 from tripstrata.plans.rules import GREEN, YELLOW
 from tripstrata.sources.readers import read_layer
@@ -127,6 +129,65 @@ def totals_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals(union_common(*feeds), keys, [["date", "feed", "vendor"], ["date", "feed"], ["feed", "vendor"], ["date"], []])
 
 
+_MEASURES = ("fare_amount", "trip_distance", "total_amount")
+_RANKS = (0.05, 0.25, 0.5, 0.75, 0.95)
+_RANK_ERROR = 0.015
+_COUNTED = ("VendorID", "PULocationID", "tpep_pickup_datetime", "fare_amount")
+
+
+def _recorded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Yellow trips, and the states of the three loads that brought them; one came wrong at first."""
+    trips, path = yellow_raw(spark, sf_dir), scratch_dir(spark, "states")
+    loads = {name: trips.filter(F.col("DOLocationID") % 3 == k) for k, name in enumerate("abc")}
+    record_states(trips, "b", path, _MEASURES, _COUNTED)
+    for name, rows in loads.items():
+        record_states(rows, name, path, _MEASURES, _COUNTED)
+    return trips, read_states(spark, path)
+
+
+def quantile_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether quantiles from merged states have the rank that they should, by exact count."""
+    trips, states = _recorded(spark, sf_dir)
+    found = merged_quantiles(states, _RANKS)
+    ranks = []
+    for column in _MEASURES:
+        answer = found.filter(F.col("column") == column).select("quantiles").scalar()
+        for number, p in enumerate(_RANKS):
+            value = F.get(answer, F.lit(number))
+            below, upto = F.avg((F.col(column) < value).cast("int")), F.avg((F.col(column) <= value).cast("int"))
+            within = (below - _RANK_ERROR <= p) & (upto + _RANK_ERROR >= p)
+            ranks.append(F.struct(F.lit(column).alias("column"), F.lit(p).alias("probability"), within.alias("within")))
+    checked = trips.agg(F.array(*ranks).alias("ranks")).select(F.inline("ranks"))
+    return checked.join(found.select("column", "n"), "column")
+
+
+def distinct_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts from merged states, held against exact ones."""
+    trips, states = _recorded(spark, sf_dir)
+    exact = [F.struct(F.lit(c).alias("column"), F.count_distinct(c).alias("exact")) for c in _COUNTED]
+    counted = trips.agg(F.array(*exact).alias("exact")).select(F.inline("exact"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") * 0.03 + 0.5
+    return merge_states(states).join(counted, "column").select("column", "n_null", "exact", near.alias("within"))
+
+
+def terms_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the terms of their supplier on the day of shipping; some days have none."""
+    began = "TIMESTAMP_NTZ '1995-06-01 00:00:00' + CAST(s_suppkey % 400 AS INT) * INTERVAL '1' DAY"
+    changed = f"{began} + INTERVAL '600' DAY"
+    suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
+    versions = [("'old'", began, changed), ("'new'", f"{changed} + CAST(s_suppkey % 3 AS INT) * INTERVAL '20' DAY", "NULL")]
+    terms = [
+        suppliers.selectExpr(
+            "l_suppkey", f"{name} AS terms",
+            *[f"CAST({e.replace('s_suppkey', 'l_suppkey')} AS TIMESTAMP_NTZ) AS {c}" for e, c in ((low, "valid_from"), (high, "valid_to"))],
+        )
+        for name, low, high in versions
+    ]
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_shipdate").cast("timestamp_ntz").alias("l_shipdate"))
+    joined = join_valid(lines, terms[0].unionByName(terms[1]), "l_suppkey", "l_shipdate")
+    return joined.withColumn("terms", F.coalesce("terms", F.lit("unknown")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_incremental": gold_incremental,
     "gold_incremental_sources": gold_incremental_sources,
@@ -137,6 +198,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_rows": quarantine_rows,
     "reconciliation": reconciliation,
     "totals_by_level": totals_by_level,
+    "quantile_states": quantile_states,
+    "distinct_states": distinct_states,
+    "terms_by_date": terms_by_date,
 }
 
 _ARRIVED = f"""{events_sql()},
@@ -199,4 +263,23 @@ WITH trips AS (
 )
 SELECT date, feed, vendor, CAST(GROUPING_ID(date, feed, vendor) AS BIGINT) AS grouping_id, {_METRICS} FROM trips
 GROUP BY GROUPING SETS ((date, feed, vendor), (date, feed), (feed, vendor), (date), ())""",
+    "quantile_states": "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", unnest([{', '.join(f'CAST({p} AS DOUBLE)' for p in _RANKS)}]) AS probability, "
+        f"true AS within, count({c}) AS n FROM ({YELLOW_SQL})"
+        for c in _MEASURES
+    ),
+    "distinct_states": "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS exact, true AS within FROM ({YELLOW_SQL})"
+        for c in _COUNTED
+    ),
+    "terms_by_date": """
+WITH began AS (SELECT s_suppkey, TIMESTAMP '1995-06-01' + CAST(s_suppkey % 400 AS INT) * INTERVAL '1' DAY AS began FROM supplier),
+terms AS (
+  SELECT s_suppkey, 'old' AS terms, began AS valid_from, began + INTERVAL '600' DAY AS valid_to FROM began
+  UNION ALL
+  SELECT s_suppkey, 'new', began + INTERVAL '600' DAY + CAST(s_suppkey % 3 AS INT) * INTERVAL '20' DAY, NULL FROM began
+)
+SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, coalesce(terms, 'unknown') AS terms, valid_from, valid_to
+FROM lineitem LEFT JOIN terms
+  ON l_suppkey = s_suppkey AND valid_from <= l_shipdate AND (valid_to IS NULL OR l_shipdate < valid_to)""",
 }
