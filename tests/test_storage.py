@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripstrata.operators.enrich import add_ingest_metadata
 from tripstrata.plans import flows
 from tripstrata.plans.rules import RATE_CODE_SCHEMA, RATE_CODES, VENDOR_SCHEMA, VENDORS
-from tripstrata.sources import readers, writers
+from tripstrata.sources import clustering, readers, writers
 from tripstrata.sources.scratch import scratch_dir
 
 
@@ -298,3 +298,37 @@ def test_dimensions(spark, path):
     assert tables["dim_location"].columns == ["location_id", "zone"]
     assert readers.literal_table(spark, VENDORS, VENDOR_SCHEMA).count() == 2
     assert readers.literal_table(spark, RATE_CODES, RATE_CODE_SCHEMA).count() == 6
+
+
+def test_clustered_files_are_narrow_in_every_column(spark, path):
+    rows = spark.range(0, 20_000, 1, 8).select(
+        (F.xxhash64("id") % 1000).alias("a"), F.expr("DATE'2024-01-01' + CAST(pmod(xxhash64(id, 7), 365) AS INT)").alias("b"), "id"
+    )
+    rows.write.parquet(f"{path}/loose")
+    packed = clustering.cluster_table(spark, f"{path}/loose", f"{path}/packed", ["a", "b"], 16)
+    assert packed.exceptAll(rows).count() == 0 and packed.count() == 20_000
+    found = clustering.file_ranges(packed, ["a", "b"]).collect()
+    assert len(found) == 16 and max(r.n_rows for r in found) < 2 * 20_000 / 16
+    # Four by four boxes, a quarter of either column each; a file may reach over the bound of two.
+    assert sum(r.max_a - r.min_a for r in found) / 16 < 0.5 * 2000
+    assert sum((r.max_b - r.min_b).days for r in found) / 16 < 0.5 * 365
+    corner = [r for r in found if r.min_a <= -800 and r.min_b <= date(2024, 2, 1)]
+    assert 1 <= len(corner) <= 3
+
+
+def test_clustering_spreads_a_hot_value_and_keeps_nulls(spark, path):
+    value = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 5.0).when(F.col("id") % 50 == 0, float("nan"))
+    rows = spark.range(0, 30_000, 1, 4).select(value.otherwise(F.col("id")).alias("x"), F.lit(None).cast("int").alias("_cell"), F.lit(1).alias("y"))
+    rows.write.parquet(f"{path}/loose")
+    packed = clustering.cluster_table(spark, f"{path}/loose", f"{path}/packed", ["x", "_cell"], 10)
+    assert packed.columns == rows.columns
+    assert packed.exceptAll(rows).count() == 0 and packed.count() == 30_000
+    assert max(r.n_rows for r in clustering.file_ranges(packed, ["x"]).collect()) < 2 * 3000
+
+
+def test_clustering_refuses_what_has_no_quantiles(spark, path):
+    spark.range(3).selectExpr("id", "'a' AS s").limit(0).write.parquet(f"{path}/loose")
+    assert clustering.cluster_table(spark, f"{path}/loose", f"{path}/packed", ["id"], 4).count() == 0
+    for columns in (["s"], [], ["id", "id"], ["gone"]):
+        with pytest.raises(ValueError):
+            clustering.cluster_table(spark, f"{path}/loose", f"{path}/other", columns, 4)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,7 @@ from tripstrata.operators.totals import totals
 from tripstrata.operators.validity import join_valid
 from tripstrata.plans import history, incremental
 from tripstrata.plans.rules import GREEN, YELLOW
+from tripstrata.sources.clustering import cluster_table, file_ranges
 from tripstrata.sources.readers import read_layer
 from tripstrata.sources.scratch import scratch_dir
 from tripstrata.streaming import ingest, summary
@@ -188,6 +191,43 @@ def terms_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.withColumn("terms", F.coalesce("terms", F.lit("unknown")))
 
 
+_BOX = {"o_orderdate": ("1996-01-01", "1997-07-01"), "o_totalprice": (150_000, 250_000)}
+
+
+def _clustered(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+    root = scratch_dir(spark, "clustering")
+    table(spark, sf_dir, "orders").repartition(8).write.parquet(f"{root}/loose")
+    return cluster_table(spark, f"{root}/loose", f"{root}/clustered", list(_BOX), number)
+
+
+def compact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clustered(spark, sf_dir, 16)
+
+
+def clustered_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in a box of dates and prices, by each side of it and by both, and whether few of 64 files can hold them."""
+    clustered = _clustered(spark, sf_dir, 64)
+    ranges = file_ranges(clustered, list(_BOX))
+
+    def inside(column: str) -> Column:
+        return F.col(column).between(*_BOX[column])
+
+    def possible(column: str) -> Column:
+        low, high = _BOX[column]
+        return (F.col(f"min_{column}") <= high) & (F.col(f"max_{column}") >= low)
+
+    boxes = {"date": ["o_orderdate"], "price": ["o_totalprice"], "both": list(_BOX)}
+    rows, files = [
+        {name: F.count_if(reduce(and_, map(test, columns))).alias(name) for name, columns in boxes.items()}
+        for test in (inside, possible)
+    ]
+    counted = clustered.agg(*rows.values()).unpivot([], list(boxes), "box", "n")
+    read = ranges.agg(*files.values(), F.count(F.lit(1)).alias("all_files")).unpivot("all_files", list(boxes), "box", "n_files")
+    # A side of the box holds a quarter to a half of the rows, both sides a seventh.
+    most = F.when(F.col("box") == "both", 0.35).otherwise(0.65)
+    return counted.join(read, "box").select("box", "n", (F.col("n_files") <= most * F.col("all_files")).alias("few_files"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_incremental": gold_incremental,
     "gold_incremental_sources": gold_incremental_sources,
@@ -201,6 +241,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quantile_states": quantile_states,
     "distinct_states": distinct_states,
     "terms_by_date": terms_by_date,
+    "compact_clustered": compact_clustered,
+    "clustered_pruning": clustered_pruning,
 }
 
 _ARRIVED = f"""{events_sql()},
@@ -238,6 +280,8 @@ _METRICS = """avg(fare_amount) AS avg_fare, min(fare_amount) AS min_fare, max(fa
   avg(trip_distance) AS avg_trip_distance, min(trip_distance) AS min_trip_distance, max(trip_distance) AS max_trip_distance,
   count(*) AS total_trips"""
 
+_DATES, _PRICES = "o_orderdate BETWEEN '1996-01-01' AND '1997-07-01'", "o_totalprice BETWEEN 150000 AND 250000"
+
 ORACLE: dict[str, str] = {
     "gold_incremental": daily_sql(),
     "gold_incremental_sources": f"{events_sql()}\n{pivot_sql('trips', 'pickup_datetime', EVENT_SOURCES)}",
@@ -282,4 +326,9 @@ terms AS (
 SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, coalesce(terms, 'unknown') AS terms, valid_from, valid_to
 FROM lineitem LEFT JOIN terms
   ON l_suppkey = s_suppkey AND valid_from <= l_shipdate AND (valid_to IS NULL OR l_shipdate < valid_to)""",
+    "compact_clustered": "SELECT * FROM orders",
+    "clustered_pruning": "\nUNION ALL\n".join(
+        f"SELECT '{box}' AS box, count(*) AS n, true AS few_files FROM orders WHERE {condition}"
+        for box, condition in {"date": _DATES, "price": _PRICES, "both": f"{_DATES} AND {_PRICES}"}.items()
+    ),
 }
