@@ -185,7 +185,9 @@ def _matching_runs(words: DataFrame, table: DataFrame, dice: float) -> DataFrame
     steps = F.explode(F.sequence("_start", F.col("_start") + F.col("longest") - 1)).alias("_at")
     own = F.broadcast(table.select("template", "bigram", F.lit(1).alias("_own")))
     cells = (
+        # Each start becomes many rows, which the planner does not foresee: never a broadcast.
         starts.select("_row", "template", "template_size", "_start", steps)
+        .hint("merge")
         .join(known, ["_row", "_at"])
         .filter(F.col("_before").isNull() | (F.col("_before") < F.col("_start")))
         .join(own, ["template", "bigram"], "left")
