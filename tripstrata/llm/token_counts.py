@@ -5,9 +5,13 @@ digests of its texts to it, encodes one text for each digest that is missing,
 appends those counts, and joins again.  A second run over the same texts, or over
 texts that differ in white space only, encodes nothing.
 
-Only digests and ids take part in aggregates.  Texts go through one shuffle, keyed
-by digest and row, so that a text copied a million times does not meet in one
-task; just one of its copies finds a partner there.
+Texts are digested once into a staged table; only digests and ids take part in
+aggregates.  Texts to encode are found by the ids of the missing digests: these are
+broadcast when their counted bytes are few, as with a warm cache, else texts go through
+one shuffle, keyed by digest and row, so that a text copied a million times does not
+meet in one task; just one of its copies finds a partner there.  A digest that holds
+over a ten-thousandth of all rows gets its count by broadcast; there are ten
+thousand of those at most.
 """
 
 from __future__ import annotations
@@ -22,9 +26,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstrata.llm.common import held, map_batches, text_key, text_of
+from tripstrata.sources.scratch import scratch_dir
 
 LIMIT = 2048
 MEMO_ENTRIES = 600_000
+FEW_BYTES = 8 << 20  # of ids to encode that each task may hold
+ENTRY_BYTES = 64  # of a row in a hash table, besides its id
+LEAST_COPIES, MOST_HOT = 1000, 10_000  # a hot digest has more copies; hot digests there can be
 CACHE_SCHEMA = "text_digest binary, tokenizer_digest string, n_tokens long"
 
 # Texts of these characters have one form only under NFC, and letters, numbers
@@ -123,15 +131,22 @@ def token_counts(
         body = file.read()
     version = hashlib.sha256(body.encode()).hexdigest()
     definition = _Definition(version, spark.sparkContext.broadcast(body))
+    path = scratch_dir(spark, "text-digests")
     rows = docs.select(F.col(key).alias("key"), text_of().alias("text"))
-    keyed = rows.withColumn("text_digest", normal_digest(F.col("text")))
-
-    wanted = keyed.groupBy("text_digest").agg(F.min(F.struct("key")).alias("one"))
-    missing = wanted.join(read_cache(spark, cache_path, version), "text_digest", "left_anti")
-    chosen = missing.select(F.col("text_digest").alias("d"), F.col("one.key").alias("k"))
+    text_digest = normal_digest(F.col("text")).alias("text_digest")
+    rows.select("key", text_digest, F.octet_length("text").cast("long").alias("n_bytes")).write.parquet(f"{path}/rows")
+    digests = spark.read.parquet(f"{path}/rows")
+
+    copies = digests.groupBy("text_digest").agg(F.min(F.struct("key")).alias("one"), F.count(F.lit(1)).alias("n"))
+    known = read_cache(spark, cache_path, version)
+    missing = copies.join(known, "text_digest", "left_anti")
+    missing.select(F.col("text_digest").alias("d"), F.col("one.key").alias("k")).write.parquet(f"{path}/missing")
+    chosen = spark.read.parquet(f"{path}/missing")
+    key_bytes = F.sum(F.octet_length(F.col("k").cast("string")).cast("long") + ENTRY_BYTES)
+    few = (chosen.agg(F.coalesce(key_bytes, F.lit(0))).first()[0]) <= FEW_BYTES
     # Rows stream past a hash table of the chosen ids; no sort of the texts.
-    texts = keyed.join(
-        chosen.hint("shuffle_hash"),
+    texts = rows.select("text", "key", text_digest).join(
+        F.broadcast(chosen) if few else chosen.hint("shuffle_hash"),
         (F.col("text_digest") == F.col("d")) & F.col("key").eqNullSafe(F.col("k")),
         "left_semi",
     ).select("text_digest", "text")
@@ -144,8 +159,15 @@ def token_counts(
         )
 
     map_batches(texts, count, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
-    return (
-        keyed.select("key", "text_digest", F.octet_length("text").cast("long").alias("n_bytes"))
-        .join(read_cache(spark, cache_path, version), "text_digest")
-        .select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+
+    # Counts of hot digests go to the rows; all other rows go to their counts.
+    hot = F.col("n") > max(LEAST_COPIES, digests.count() // MOST_HOT)
+    copies.filter(hot).select("text_digest").join(
+        read_cache(spark, cache_path, version), "text_digest"
+    ).write.parquet(f"{path}/hot")
+    counts_of_hot = F.broadcast(spark.read.parquet(f"{path}/hot"))
+    rest = digests.join(counts_of_hot, "text_digest", "left_anti")
+    counted = digests.join(counts_of_hot, "text_digest").unionByName(
+        rest.join(read_cache(spark, cache_path, version), "text_digest")
     )
+    return counted.select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
