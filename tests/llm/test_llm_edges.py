@@ -209,11 +209,10 @@ def test_counts_and_cache(spark, docs, tmp_path):
     assert token_counts.token_counts(docs.limit(0), path, str(tmp_path / "other")).count() == 0
 
 
-def test_counts_of_hot_digests_and_of_many_missing(docs, tmp_path, monkeypatch):
-    """Digests with copies get their counts by broadcast, and texts to encode come by a shuffle."""
+def test_counts_of_hot_digests(docs, tmp_path, monkeypatch):
+    """Digests with copies get their counts by broadcast."""
     path = public_tokenizers.path("word_bpe_49k.json")
     monkeypatch.setattr(token_counts, "LEAST_COPIES", 1)
-    monkeypatch.setattr(token_counts, "FEW_BYTES", -1)
     twice = docs.unionByName(docs)
     found = token_counts.token_counts(twice, path, str(tmp_path / "cache")).collect()
     texts = {r.doc_id: r.text for r in docs.collect()}

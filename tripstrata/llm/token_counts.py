@@ -6,12 +6,10 @@ appends those counts, and joins again.  A second run over the same texts, or ove
 texts that differ in white space only, encodes nothing.
 
 Texts are digested once into a staged table; only digests and ids take part in
-aggregates.  Texts to encode are found by the ids of the missing digests: these are
-broadcast when their counted bytes are few, as with a warm cache, else texts go through
-one shuffle, keyed by digest and row, so that a text copied a million times does not
-meet in one task; just one of its copies finds a partner there.  A digest that holds
-over a ten-thousandth of all rows gets its count by broadcast; there are ten
-thousand of those at most.
+aggregates.  Texts go through one shuffle, keyed by digest and row, so that a text
+copied a million times does not meet in one task; just one of its copies finds a
+partner there.  A digest that holds over a ten-thousandth of all rows gets its count
+by broadcast; there are ten thousand of those at most.
 """
 
 from __future__ import annotations
@@ -30,8 +28,6 @@ from tripstrata.sources.scratch import scratch_dir
 
 LIMIT = 2048
 MEMO_ENTRIES = 600_000
-FEW_BYTES = 8 << 20  # of ids to encode that each task may hold
-ENTRY_BYTES = 64  # of a row in a hash table, besides its id
 LEAST_COPIES, MOST_HOT = 1000, 10_000  # a hot digest has more copies; hot digests there can be
 CACHE_SCHEMA = "text_digest binary, tokenizer_digest string, n_tokens long"
 
@@ -140,13 +136,10 @@ def token_counts(
     copies = digests.groupBy("text_digest").agg(F.min(F.struct("key")).alias("one"), F.count(F.lit(1)).alias("n"))
     known = read_cache(spark, cache_path, version)
     missing = copies.join(known, "text_digest", "left_anti")
-    missing.select(F.col("text_digest").alias("d"), F.col("one.key").alias("k")).write.parquet(f"{path}/missing")
-    chosen = spark.read.parquet(f"{path}/missing")
-    key_bytes = F.sum(F.octet_length(F.col("k").cast("string")).cast("long") + ENTRY_BYTES)
-    few = (chosen.agg(F.coalesce(key_bytes, F.lit(0))).first()[0]) <= FEW_BYTES
+    chosen = missing.select(F.col("text_digest").alias("d"), F.col("one.key").alias("k"))
     # Rows stream past a hash table of the chosen ids; no sort of the texts.
     texts = rows.select("text", "key", text_digest).join(
-        F.broadcast(chosen) if few else chosen.hint("shuffle_hash"),
+        chosen.hint("shuffle_hash"),
         (F.col("text_digest") == F.col("d")) & F.col("key").eqNullSafe(F.col("k")),
         "left_semi",
     ).select("text_digest", "text")
