@@ -28,7 +28,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripstrata.llm.common import broadcast_if_small, text_of
+from tripstrata.llm.common import text_of
 from tripstrata.sources.scratch import scratch_dir
 
 LEAST_DICE = 0.8
@@ -178,18 +178,13 @@ def _matching_runs(words: DataFrame, table: DataFrame, dice: float) -> DataFrame
         .write.parquet(f"{path}/starts")
     )
     starts = words.sparkSession.read.parquet(f"{path}/starts")
-    rows = broadcast_if_small(starts.select("_row").distinct(), 64)
-    # Repeats in a run count once: those whose last place is before its start.
-    before = F.lag("_at").over(Window.partitionBy("_row", "bigram").orderBy("_at"))
-    known = places.join(rows, "_row", "left_semi").withColumn("_before", before)
-    steps = F.explode(F.sequence("_start", F.col("_start") + F.col("longest") - 1)).alias("_at")
+    # A run's words are cut from its text; repeats in a run count once, where they come first.
+    run = F.slice("_words", F.col("_start") + 1, F.col("longest") + 1)
+    steps = F.posexplode(_bigrams(run)).alias("_at", "bigram")
     own = F.broadcast(table.select("template", "bigram", F.lit(1).alias("_own")))
     cells = (
-        # Each start becomes many rows, which the planner does not foresee: never a broadcast.
-        starts.select("_row", "template", "template_size", "_start", steps)
-        .hint("merge")
-        .join(known, ["_row", "_at"])
-        .filter(F.col("_before").isNull() | (F.col("_before") < F.col("_start")))
+        words.join(starts.hint("shuffle_hash"), "_row")
+        .select("_row", "template", "template_size", "_start", steps)
         .join(own, ["template", "bigram"], "left")
     )
     so_far = Window.partitionBy("_row", "template", "_start").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
