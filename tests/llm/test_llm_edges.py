@@ -315,6 +315,42 @@ def test_repeats(spark, docs, group_rows):
     assert suffix_dedup.drop_repeats(frame.limit(0)).count() == 0
 
 
+def test_passages_of_words_that_others_have(spark):
+    """Also under 400 bytes, across white space, and not those that only one text has."""
+    rng = random.Random(9)
+
+    def some(count):
+        return ["".join(rng.choices("abcdé", k=rng.randint(1, 6))) + str(rng.randrange(100_000)) for _ in range(count)]
+
+    short, exact, less, twice = some(70), some(51), some(50), some(60)
+    long = some(9000)
+    rows = [
+        " ".join(some(30) + short + some(40)),
+        "\t\n".join(some(200) + short + some(1)),
+        " ".join(exact), "\x0b".join(exact) + " end",
+        " ".join(some(60) + less + some(9)), " ".join(less + some(80)),
+        " ".join(some(20) + twice + some(20) + twice),
+        " ".join(["a"] * 300), " ".join(["a"] * 80 + some(90)), " ".join(["a"] * 50 + some(90)),
+        " ".join(long), " ".join(some(5) + long[3000:7000] + some(300) + exact[:30]),
+        " ".join(some(51)), " ".join(some(40)), " ".join(short[10:60]), " ".join(short[10:62]), " ".join(short[:51][::-1]),
+        "", None, "y" * 5000,
+    ]
+    rows += [rows[2], rows[12], rows[13], rows[17], None]
+    words = [(t or "").encode().split() for t in rows]
+    owners = {}
+    for n, w in enumerate(words):
+        for i in range(len(w) - 50):
+            owners.setdefault(tuple(w[i : i + 51]), set()).add(n)
+    want = [
+        len({k for i in range(len(w) - 50) if len(owners[tuple(w[i : i + 51])]) > 1 for k in range(i, i + 51)}) for w in words
+    ]
+    frame = spark.createDataFrame([(None if n == 3 else n, t) for n, t in enumerate(rows)], "doc_id long, text string")
+    found = suffix_dedup.drop_repeats(frame.repartition(3))
+    assert {3 if r.doc_id is None else r.doc_id: r.n_shared_words for r in found.collect()} == dict(enumerate(want))
+    assert want[0] == want[1] == 70 and want[3] == 51 and want[4] == want[6] == 0 and want[11] == 4000
+    assert want[7:10] == [300, 80, 0]
+
+
 def test_long_walks_fall_back_to_windows(monkeypatch):
     import numpy as np
 

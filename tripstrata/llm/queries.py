@@ -80,6 +80,8 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"),
         (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"),
         (F.col("n_removed") > 0).alias("has_repeats"),
+        "n_shared_words",
+        (F.col("n_shared_words") > 0).alias("shares_passage"),
     )
 
 

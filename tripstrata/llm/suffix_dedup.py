@@ -20,6 +20,11 @@ in 150 starts an anchor.
 4. The spans meet the texts again by digest of the text.
 
 Copies of a text share its digest, so they meet once, however many there are.
+
+Besides, passages of ``WORDS`` words that another row has too are found, also those
+under ``MATCH`` bytes and with other white space between their words.  Each window of
+words belongs to its gram of ``WORD_GRAM`` words with the least hash.  Grams that differing
+texts have are counted first; only windows of such grams are compared, by digest.
 """
 
 from __future__ import annotations
@@ -44,9 +49,12 @@ CHUNK = 1 << 18  # bytes of a text handled at once
 SORT_ROWS = 4096  # surroundings sorted at once
 GROUP_ROWS = 20_000  # beyond, a gram is not gathered in one task
 ROUNDS = 64  # neighbours looked at on either side before windows are counted
+WORDS = 51  # words of a passage that another row has too
+WORD_GRAM = 12
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64)
+_PLACED = np.random.default_rng(20240301).integers(1, 1 << 63, 64 * 256, dtype=np.int64).astype(np.uint64)
 
 
 @functools.lru_cache(maxsize=1)
@@ -148,6 +156,54 @@ def find_anchors(texts: DataFrame) -> DataFrame:
     return map_batches(texts, run, _ANCHOR.format(kind=kind), rows=256)
 
 
+def split_words(raw: bytes) -> tuple[bytes, np.ndarray]:
+    """Words with a space after each, and where they begin, the end of the last one included."""
+    text = b" ".join([*raw.split(), b""])
+    return text, np.concatenate([[0], np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1])
+
+
+def least_grams(text: bytes, starts: np.ndarray) -> np.ndarray:
+    """Least hash of the grams inside each window of ``WORDS`` words; it depends on the window alone."""
+    size = len(starts) - 1
+    if size < WORDS:
+        return np.empty(0, np.uint64)
+    words, at = np.empty(size, np.uint64), 0
+    while at < size:
+        stop = max(at + 1, int(np.searchsorted(starts, starts[at] + CHUNK, side="right")) - 1)
+        part = starts[at : stop + 1] - starts[at]
+        data = np.frombuffer(text, np.uint8, int(part[-1]), int(starts[at]))
+        place = (np.arange(len(data)) - np.repeat(part[:-1], np.diff(part))) & 63
+        words[at:stop] = np.add.reduceat(_PLACED[place << 8 | data], part[:-1])
+        at = stop
+    grams = {1: words}
+    for one, two in ((1, 1), (2, 2), (4, 4), (8, 4)):
+        left, right = grams[one], grams[two][one:]
+        grams[one + two] = _mixed(left[: len(right)] * _BASE + right)
+    return _sliding_min(grams[WORD_GRAM], WORDS - WORD_GRAM + 1)
+
+
+def find_word_anchors(texts: DataFrame) -> DataFrame:
+    """``text_key, gram``: least grams of the windows of rows ``text_key, text``."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # All texts of a batch at once; windows that reach into the next text are left out.
+        parts = [split_words(text.encode("utf-8", "surrogatepass")) for text in batch.column(1).to_pylist()]
+        counts = np.array([len(starts) - 1 for _, starts in parts], np.int64)
+        ends = np.cumsum([0, *[len(text) for text, _ in parts]])
+        starts = np.concatenate([*[starts[:-1] + end for (_, starts), end in zip(parts, ends)], ends[-1:]])
+        least = least_grams(b"".join(text for text, _ in parts), starts)
+        owner = np.repeat(np.arange(len(parts)), counts)
+        inside = np.flatnonzero(owner[: len(least)] == owner[WORDS - 1 :])
+        least, owner = least[inside], owner[inside]
+        new = np.ones(len(least), bool)
+        new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(owner[new])), pa.array(least[new].view(np.int64))], names=["text_key", "gram"]
+        )
+
+    return map_batches(texts, run, "text_key binary, gram long", rows=64)
+
+
 class Suffixes:
     """Suffixes of a fixed width that are compared inside their groups.
 
@@ -307,23 +363,54 @@ _SIDES = "anchor long, c1 long, c2 long, left binary, right binary"
 _FOUND = "anchor long, c1 long, c2 long, covers_left int, covers_right int"
 
 
-def cut_sides(texts: DataFrame) -> DataFrame:
-    """Surroundings from rows ``text`` and ``wanted`` (array of anchor, c1, c2, pos)."""
+_WINDOWS = "text_key binary, place int, w1 long, w2 long"
+
+
+def cut_texts(texts: DataFrame) -> DataFrame:
+    """Surroundings and windows of words, each with nulls for the columns of the other.
+
+    Rows are ``text_key, text, wanted`` (array of anchor, c1, c2, pos) and ``grams`` (array).
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        sides, keys, places, digests = [], [], [], []
+        for key, text, wanted, grams in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             raw = text.encode("utf-8", "surrogatepass")
-            for w in wanted:
+            for w in wanted or ():
                 p = w["pos"]
-                rows.append((w["anchor"], w["c1"], w["c2"], raw[max(0, p - LEFT) : p], raw[p : p + RIGHT]))
-        columns = list(zip(*rows)) if rows else [()] * 5
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                sides.append((w["anchor"], w["c1"], w["c2"], raw[max(0, p - LEFT) : p], raw[p : p + RIGHT]))
+            if grams:
+                words, starts = split_words(raw)
+                least = least_grams(words, starts).view(np.int64)
+                own = np.flatnonzero(np.isin(least, np.array(grams, np.int64)))
+                begin, end = starts[own].tolist(), starts[own + WORDS].tolist()
+                digests += [xxhash.xxh3_128_digest(words[x:y]) for x, y in zip(begin, end)]
+                places += own.tolist()
+                keys += [key] * len(own)
+        both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+        columns = [*(zip(*sides) if sides else [()] * 5), keys, places, both[:, 0], both[:, 1]]
+        types = [pa.int64()] * 3 + [pa.binary()] * 3 + [pa.int32()] + [pa.int64()] * 2
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["anchor", "c1", "c2", "left", "right"]
+            [
+                pa.concat_arrays([a, pa.nulls(len(keys), a.type)] if n < 5 else [pa.nulls(len(sides), a.type), a])
+                for n, a in enumerate(arrays)
+            ],
+            names=["anchor", "c1", "c2", "left", "right", "text_key", "place", "w1", "w2"],
         )
 
-    return map_batches(texts, run, _SIDES, rows=128)
+    return map_batches(texts, run, f"{_SIDES}, {_WINDOWS}", rows=128)
+
+
+def _shared_places(windows: DataFrame) -> DataFrame:
+    """``text_key, places``: numbers of the words at which windows begin that differing texts have."""
+    text = F.xxhash64("text_key")
+    twice = windows.groupBy("w1", "w2").agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    return (
+        windows.join(twice.filter("low <> high").select("w1", "w2"), ["w1", "w2"])
+        .groupBy("text_key")
+        .agg(F.array_sort(F.collect_set("place")).alias("places"))
+    )
 
 
 def _sort_groups(sides: DataFrame) -> DataFrame:
@@ -403,13 +490,16 @@ def _count_windows(sides: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``text_key, spans``: for each text with repeats, (start, stop) pairs in bytes.
+    """``text_key, spans, places, copied``: for each text with repeats, (start, stop) pairs in bytes.
 
-    Spans may overlap; each is covered by windows that also start elsewhere.
+    Spans may overlap; each is covered by windows that also start elsewhere.  ``places``
+    are the words, counted from 0, at which ``WORDS`` words begin that a differing text has
+    too; ``copied`` says that another row has the whole text.
     """
     spark = docs.sparkSession
     path = scratch_dir(spark, "repeats")
     texts = docs.select(F.col(key).alias("id"), text_key(text_of()).alias("text_key"), text_of().alias("text"))
+    wordy = texts.filter(F.octet_length("text") >= 2 * WORDS - 1)
     texts = texts.filter(F.octet_length("text") >= MATCH)
     find_anchors(texts).write.parquet(f"{path}/anchors")
     found = spark.read.parquet(f"{path}/anchors")
@@ -443,10 +533,28 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
         .write.parquet(f"{path}/wanted")
     )
     wanted = spark.read.parquet(f"{path}/wanted")
+
+    find_word_anchors(wordy.select("text_key", "text")).write.parquet(f"{path}/grams")
+    grams = spark.read.parquet(f"{path}/grams")
+    text = F.xxhash64("text_key")
+    common = grams.groupBy("gram").agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    (
+        grams.join(common.filter("low <> high").select("gram"), "gram")
+        .groupBy("text_key")
+        .agg(F.collect_set("gram").alias("grams"))
+        .write.parquet(f"{path}/compared")
+    )
+    compared = spark.read.parquet(f"{path}/compared").withColumnRenamed("text_key", "compared_key")
+    needed = wanted.join(compared, F.col("wanted_key") == F.col("compared_key"), "full")
+    needed = needed.withColumn("needed_key", F.coalesce("wanted_key", "compared_key"))
     # Of the copies of a text only the one with the chosen id gives bytes.
-    one = (F.col("text_key") == F.col("wanted_key")) & F.col("id").eqNullSafe(F.col("wanted_id"))
-    cut_sides(texts.join(wanted, one).select("text", "wanted")).write.parquet(f"{path}/sides")
-    sides = spark.read.parquet(f"{path}/sides")
+    chosen = F.when(F.col("id").eqNullSafe(F.col("wanted_id")), F.col("wanted")).alias("wanted")
+    cut = wordy.join(needed, F.col("text_key") == F.col("needed_key")).select("text_key", "text", chosen, "grams")
+    cut_texts(cut).write.parquet(f"{path}/cut")
+    sides = spark.read.parquet(f"{path}/cut").filter("anchor IS NOT NULL").select("anchor", "c1", "c2", "left", "right")
+    windows = spark.read.parquet(f"{path}/cut").filter("w1 IS NOT NULL").select("text_key", "place", "w1", "w2")
+    _shared_places(windows).write.parquet(f"{path}/places")
+    copies = wordy.groupBy("text_key").agg((F.count(F.lit(1)) > 1).alias("copied")).filter("copied")
     crowded = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows)
     crowded.select(F.col("anchor").alias("big")).write.parquet(f"{path}/crowded")
     crowded = spark.read.parquet(f"{path}/crowded")
@@ -484,6 +592,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
         .distinct()
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+        .join(spark.read.parquet(f"{path}/places"), "text_key", "full")
+        .join(copies, "text_key", "full")
     )
 
 
@@ -502,10 +612,12 @@ def _merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
 
 
 def drop_repeats(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``key, n_bytes, n_removed, n_spans, kept`` per row; ``kept`` are the bytes that stay.
+    """``key, n_bytes, n_removed, n_spans, kept, n_shared_words`` per row; ``kept`` are the bytes that stay.
 
     Null reads as an empty text.  Texts under ``MATCH`` bytes stay whole.  Rows with
     equal texts repeat each other: they lose all their bytes, if they have enough.
+    ``n_shared_words`` are the words in passages of ``WORDS`` words that another row has
+    too, whatever white space stands between them.
     """
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
@@ -513,11 +625,11 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP_R
     repeated_spans(docs, key, group_rows).write.parquet(path)
     spans = spark.read.parquet(path)
     rows = docs.select(F.col(key).alias("key"), text_key(text_of()).alias("text_key"), text_of().alias("text"))
-    joined = rows.join(spans, "text_key", "left").select("key", "text", "spans")
+    joined = rows.join(spans, "text_key", "left").select("key", "text", "spans", "places", "copied")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, removed, counts, kept = [], [], [], []
-        for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+        sizes, removed, counts, kept, shared = [], [], [], [], []
+        for _, text, found, places, copied in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             raw = text.encode("utf-8", "surrogatepass")
             runs = _merged(found or [], len(raw))
             edges = [0, *[e for r in runs for e in r], len(raw)]
@@ -525,6 +637,11 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP_R
             sizes.append(len(raw))
             removed.append(len(raw) - len(kept[-1]))
             counts.append(len(runs))
+            if copied:
+                words = len(raw.split())
+                shared.append(words if words >= WORDS else 0)
+            else:
+                shared.append(int(np.minimum(np.diff(places), WORDS).sum()) + WORDS if places else 0)
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("key"),
@@ -532,9 +649,10 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP_R
                 pa.array(removed, pa.int64()),
                 pa.array(counts, pa.int64()),
                 pa.array(kept, pa.binary()),
+                pa.array(shared, pa.int64()),
             ],
-            names=["key", "n_bytes", "n_removed", "n_spans", "kept"],
+            names=["key", "n_bytes", "n_removed", "n_spans", "kept", "n_shared_words"],
         )
 
-    schema = f"key {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = f"key {kind}, n_bytes long, n_removed long, n_spans long, kept binary, n_shared_words long"
     return map_batches(joined, run, schema).withColumnRenamed("key", key)
