@@ -363,17 +363,18 @@ _SIDES = "anchor long, c1 long, c2 long, left binary, right binary"
 _FOUND = "anchor long, c1 long, c2 long, covers_left int, covers_right int"
 
 
-_WINDOWS = "text_key binary, place int, w1 long, w2 long"
+_WINDOWS = "text_key binary, place int, times int, w1 long, w2 long"
 
 
 def cut_texts(texts: DataFrame) -> DataFrame:
     """Surroundings and windows of words, each with nulls for the columns of the other.
 
     Rows are ``text_key, text, wanted`` (array of anchor, c1, c2, pos) and ``grams`` (array).
+    Equal windows that follow each other, as one word again and again gives, are one row.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sides, keys, places, digests = [], [], [], []
+        sides, keys, places, times, digests = [], [], [], [], []
         for key, text, wanted, grams in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             raw = text.encode("utf-8", "surrogatepass")
             for w in wanted or ():
@@ -384,32 +385,38 @@ def cut_texts(texts: DataFrame) -> DataFrame:
                 least = least_grams(words, starts).view(np.int64)
                 own = np.flatnonzero(np.isin(least, np.array(grams, np.int64)))
                 begin, end = starts[own].tolist(), starts[own + WORDS].tolist()
-                digests += [xxhash.xxh3_128_digest(words[x:y]) for x, y in zip(begin, end)]
-                places += own.tolist()
-                keys += [key] * len(own)
+                digest = [xxhash.xxh3_128_digest(words[x:y]) for x, y in zip(begin, end)]
+                new = [n for n, d in enumerate(digest) if not n or d != digest[n - 1] or own[n] != own[n - 1] + 1]
+                digests += [digest[n] for n in new]
+                places += own[new].tolist()
+                times += np.diff([*new, len(own)]).tolist()
+                keys += [key] * len(new)
         both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        columns = [*(zip(*sides) if sides else [()] * 5), keys, places, both[:, 0], both[:, 1]]
-        types = [pa.int64()] * 3 + [pa.binary()] * 3 + [pa.int32()] + [pa.int64()] * 2
+        columns = [*(zip(*sides) if sides else [()] * 5), keys, places, times, both[:, 0], both[:, 1]]
+        types = [pa.int64()] * 3 + [pa.binary()] * 3 + [pa.int32()] * 2 + [pa.int64()] * 2
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.concat_arrays([a, pa.nulls(len(keys), a.type)] if n < 5 else [pa.nulls(len(sides), a.type), a])
                 for n, a in enumerate(arrays)
             ],
-            names=["anchor", "c1", "c2", "left", "right", "text_key", "place", "w1", "w2"],
+            names=["anchor", "c1", "c2", "left", "right", "text_key", "place", "times", "w1", "w2"],
         )
 
     return map_batches(texts, run, f"{_SIDES}, {_WINDOWS}", rows=128)
 
 
 def _shared_places(windows: DataFrame) -> DataFrame:
-    """``text_key, places``: numbers of the words at which windows begin that differing texts have."""
+    """``text_key, places``: numbers of the words at which windows begin that differing texts have.
+
+    ``times`` of a place says how many windows in a row begin there.
+    """
     text = F.xxhash64("text_key")
     twice = windows.groupBy("w1", "w2").agg(F.min(text).alias("low"), F.max(text).alias("high"))
     return (
         windows.join(twice.filter("low <> high").select("w1", "w2"), ["w1", "w2"])
         .groupBy("text_key")
-        .agg(F.array_sort(F.collect_set("place")).alias("places"))
+        .agg(F.array_sort(F.collect_set(F.struct("place", "times"))).alias("places"))
     )
 
 
@@ -494,7 +501,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
 
     Spans may overlap; each is covered by windows that also start elsewhere.  ``places``
     are the words, counted from 0, at which ``WORDS`` words begin that a differing text has
-    too; ``copied`` says that another row has the whole text.
+    too, each with the ``times`` that words after it begin the same; ``copied`` says that another row has the whole text.
     """
     spark = docs.sparkSession
     path = scratch_dir(spark, "repeats")
@@ -544,17 +551,21 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
         .agg(F.collect_set("gram").alias("grams"))
         .write.parquet(f"{path}/compared")
     )
-    compared = spark.read.parquet(f"{path}/compared").withColumnRenamed("text_key", "compared_key")
+    rows_of = wordy.groupBy("text_key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
+    rows_of.filter("n > 1").select("text_key", F.lit(True).alias("copied"), "first_id").write.parquet(f"{path}/copies")
+    copies = spark.read.parquet(f"{path}/copies")
+    compared = spark.read.parquet(f"{path}/compared").join(copies, "text_key", "left")
+    compared = compared.withColumnRenamed("text_key", "compared_key")
     needed = wanted.join(compared, F.col("wanted_key") == F.col("compared_key"), "full")
     needed = needed.withColumn("needed_key", F.coalesce("wanted_key", "compared_key"))
     # Of the copies of a text only the one with the chosen id gives bytes.
     chosen = F.when(F.col("id").eqNullSafe(F.col("wanted_id")), F.col("wanted")).alias("wanted")
-    cut = wordy.join(needed, F.col("text_key") == F.col("needed_key")).select("text_key", "text", chosen, "grams")
-    cut_texts(cut).write.parquet(f"{path}/cut")
+    first = F.when(F.col("copied").isNull() | F.col("id").eqNullSafe(F.col("first_id")), F.col("grams")).alias("grams")
+    cut = wordy.join(needed, F.col("text_key") == F.col("needed_key")).select("text_key", "text", chosen, first)
+    cut_texts(cut.filter("wanted IS NOT NULL OR grams IS NOT NULL")).write.parquet(f"{path}/cut")
     sides = spark.read.parquet(f"{path}/cut").filter("anchor IS NOT NULL").select("anchor", "c1", "c2", "left", "right")
-    windows = spark.read.parquet(f"{path}/cut").filter("w1 IS NOT NULL").select("text_key", "place", "w1", "w2")
+    windows = spark.read.parquet(f"{path}/cut").filter("w1 IS NOT NULL").select("text_key", "place", "times", "w1", "w2")
     _shared_places(windows).write.parquet(f"{path}/places")
-    copies = wordy.groupBy("text_key").agg((F.count(F.lit(1)) > 1).alias("copied")).filter("copied")
     crowded = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows)
     crowded.select(F.col("anchor").alias("big")).write.parquet(f"{path}/crowded")
     crowded = spark.read.parquet(f"{path}/crowded")
@@ -593,7 +604,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
         .join(spark.read.parquet(f"{path}/places"), "text_key", "full")
-        .join(copies, "text_key", "full")
+        .join(copies.drop("first_id"), "text_key", "full")
     )
 
 
@@ -641,7 +652,9 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP_R
                 words = len(raw.split())
                 shared.append(words if words >= WORDS else 0)
             else:
-                shared.append(int(np.minimum(np.diff(places), WORDS).sum()) + WORDS if places else 0)
+                at = np.array([(p["place"], p["place"] + p["times"] - 1 + WORDS) for p in places or ()]).reshape(-1, 2)
+                last = np.maximum.accumulate(np.concatenate([[0], at[:, 1]]))
+                shared.append(int(np.maximum(at[:, 1] - np.maximum(at[:, 0], last[:-1]), 0).sum()))
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("key"),
