@@ -406,15 +406,17 @@ def cut_texts(texts: DataFrame) -> DataFrame:
     return map_batches(texts, run, f"{_SIDES}, {_WINDOWS}", rows=128)
 
 
-def _shared_places(windows: DataFrame) -> DataFrame:
+def _shared_places(windows: DataFrame, path: str) -> DataFrame:
     """``text_key, places``: numbers of the words at which windows begin that differing texts have.
 
     ``times`` of a place says how many windows in a row begin there.
     """
     text = F.xxhash64("text_key")
+    # Staged, so that the join can split the rows of a very common window.
     twice = windows.groupBy("w1", "w2").agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    twice.filter("low <> high").select("w1", "w2").write.parquet(path)
     return (
-        windows.join(twice.filter("low <> high").select("w1", "w2"), ["w1", "w2"])
+        windows.join(windows.sparkSession.read.parquet(path), ["w1", "w2"])
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_set(F.struct("place", "times"))).alias("places"))
     )
@@ -545,8 +547,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
     grams = spark.read.parquet(f"{path}/grams")
     text = F.xxhash64("text_key")
     common = grams.groupBy("gram").agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    common.filter("low <> high").select("gram").write.parquet(f"{path}/common")
     (
-        grams.join(common.filter("low <> high").select("gram"), "gram")
+        grams.join(spark.read.parquet(f"{path}/common"), "gram")
         .groupBy("text_key")
         .agg(F.collect_set("gram").alias("grams"))
         .write.parquet(f"{path}/compared")
@@ -565,7 +568,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", group_rows: int = GROUP
     cut_texts(cut.filter("wanted IS NOT NULL OR grams IS NOT NULL")).write.parquet(f"{path}/cut")
     sides = spark.read.parquet(f"{path}/cut").filter("anchor IS NOT NULL").select("anchor", "c1", "c2", "left", "right")
     windows = spark.read.parquet(f"{path}/cut").filter("w1 IS NOT NULL").select("text_key", "place", "times", "w1", "w2")
-    _shared_places(windows).write.parquet(f"{path}/places")
+    _shared_places(windows, f"{path}/twice").write.parquet(f"{path}/places")
     crowded = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows)
     crowded.select(F.col("anchor").alias("big")).write.parquet(f"{path}/crowded")
     crowded = spark.read.parquet(f"{path}/crowded")
